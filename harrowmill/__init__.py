@@ -6,3 +6,10 @@ linear algebra have to be processed.
 """
 
 __version__ = "0.1.0"
+
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Functions that run on executors are shipped by value, so that workers need no copy of this package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrowmill.llm import leakage
+from harrowmill.llm import leakage, sitelines
 from harrowmill.sources.tables import table
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = sitelines.repeated_occurrences(table(spark, sf_dir, "contents"))
+    return hits.select(F.col("doc_id").alias("content_id"), "line_no")
+
+
+def p5_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each body without the repeated lines, as a hash and its length in characters."""
+    out = sitelines.without_repeated_lines(table(spark, sf_dir, "contents"))
+    return out.select(F.col("doc_id").alias("content_id"), F.length("body").alias("n_chars"), F.md5("body").alias("body_md5"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -20,8 +31,23 @@ def p8_paraphrased(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p5_found": p5_found,
+    "p5_cleaned": p5_cleaned,
     "p8_found": p8_found,
     "p8_paraphrased": p8_paraphrased,
 }
 
-SQL: dict[str, str] = {}
+_P5 = r"""
+  lines as (select id, source_id, unnest(range(len(string_split(body, chr(10))))) as line_no, unnest(string_split(body, chr(10))) as line
+            from contents where body is not null),
+  keyed as (select id, source_id, line_no, line, lower(regexp_replace(line, '[^\p{L}]+', '', 'g')) as key from lines),
+  hot as (select source_id, key from keyed where key <> '' group by all having count(distinct id) >= 5)
+"""
+
+SQL: dict[str, str] = {
+    "p5_found": f"with {_P5} select id as content_id, line_no::int as line_no from keyed join hot using (source_id, key)",
+    "p5_cleaned": f"with {_P5}, kept as (select k.id, string_agg(line, chr(10) order by line_no) as body from keyed k "
+    "left join hot h on h.source_id = k.source_id and h.key = k.key where h.key is null group by k.id) "
+    "select c.id as content_id, length(coalesce(k.body, ''))::int as n_chars, md5(coalesce(k.body, '')) as body_md5 "
+    "from contents c left join kept k on k.id = c.id",
+}

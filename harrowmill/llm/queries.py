@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrowmill.llm import leakage, sitelines
+from harrowmill.llm import boilerplate, leakage, residue, sitelines
+from harrowmill.session import cut_lineage
 from harrowmill.sources.tables import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = residue.residue(table(spark, sf_dir, "contents"), table(spark, sf_dir, "raw_contents"))
+    return hits.select("record_table", "record_id")
+
+
+def p1_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = residue.residue(table(spark, sf_dir, "contents"), table(spark, sf_dir, "raw_contents"))
+    return hits.groupBy("record_table", "reason").agg(F.count("*").alias("n"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = sitelines.repeated_occurrences(table(spark, sf_dir, "contents"))
     return hits.select(F.col("doc_id").alias("content_id"), "line_no")
@@ -22,6 +33,19 @@ def p5_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("doc_id").alias("content_id"), F.length("body").alias("n_chars"), F.md5("body").alias("body_md5"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    contents = table(spark, sf_dir, "contents")
+    spoilt = residue.residue(contents).select(F.col("record_id").alias("id"))
+    hits = boilerplate.boilerplate_lines(contents, table(spark, sf_dir, "raw_contents"), table(spark, sf_dir, "sources"), cut_lineage(spoilt))
+    return hits.select(F.col("id").alias("content_id"), "line_no")
+
+
+def p6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main content of every raw page, as its length and hash."""
+    out = boilerplate.main_text(table(spark, sf_dir, "raw_contents"))
+    return out.select("raw_id", F.length("body").alias("n_chars"), F.md5("body").alias("body_md5"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -31,8 +55,12 @@ def p8_paraphrased(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_reasons": p1_reasons,
     "p5_found": p5_found,
     "p5_cleaned": p5_cleaned,
+    "p6_found": p6_found,
+    "p6_main_text": p6_main_text,
     "p8_found": p8_found,
     "p8_paraphrased": p8_paraphrased,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrowmill.llm import boilerplate, leakage, residue, sitelines
+from harrowmill.llm import boilerplate, encoding, leakage, residue, sitelines
 from harrowmill.session import cut_lineage
 from harrowmill.sources.tables import table
 
@@ -22,6 +22,22 @@ def p1_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.groupBy("record_table", "reason").agg(F.count("*").alias("n"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = encoding.fields_of(table(spark, sf_dir, "contents"), table(spark, sf_dir, "raw_contents"))
+    return encoding.damaged_fields(fields).select("record_table", "record_id", "field").distinct()
+
+
+def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged fields with their text put right, as its hash, and how many damaged words were filled in or left open."""
+    fields = encoding.fields_of(table(spark, sf_dir, "contents"), table(spark, sf_dir, "raw_contents"))
+    damaged = cut_lineage(encoding.damaged_fields(fields))
+    filled = encoding.restore_lost(damaged, fields)
+    readable = damaged.filter(~F.col("lost")).withColumn("restored", F.lit(0)).withColumn("open", F.lit(0))
+    columns = ["record_table", "record_id", "field", "text", "restored", "open"]
+    out = readable.select(*columns).unionByName(filled.select(*columns))
+    return out.select("record_table", "record_id", "field", F.md5("text").alias("text_md5"), "restored", "open")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = sitelines.repeated_occurrences(table(spark, sf_dir, "contents"))
     return hits.select(F.col("doc_id").alias("content_id"), "line_no")
@@ -57,6 +73,8 @@ def p8_paraphrased(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_reasons": p1_reasons,
+    "p4_found": p4_found,
+    "p4_restored": p4_restored,
     "p5_found": p5_found,
     "p5_cleaned": p5_cleaned,
     "p6_found": p6_found,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrowmill.llm import boilerplate, encoding, leakage, residue, sitelines
+from harrowmill.llm import boilerplate, encoding, leakage, names, residue, sitelines
 from harrowmill.session import cut_lineage
 from harrowmill.sources.tables import table
 
@@ -22,6 +22,15 @@ def p1_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.groupBy("record_table", "reason").agg(F.count("*").alias("n"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.variant_pairs(table(spark, sf_dir, "entities"), table(spark, sf_dir, "claims"))
+
+
+def p2_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling with the key of the person or organisation it means."""
+    return names.entity_names(table(spark, sf_dir, "entities"), table(spark, sf_dir, "claims"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = encoding.fields_of(table(spark, sf_dir, "contents"), table(spark, sf_dir, "raw_contents"))
     return encoding.damaged_fields(fields).select("record_table", "record_id", "field").distinct()
@@ -73,6 +82,8 @@ def p8_paraphrased(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_reasons": p1_reasons,
+    "p2_found": p2_found,
+    "p2_entities": p2_entities,
     "p4_found": p4_found,
     "p4_restored": p4_restored,
     "p5_found": p5_found,

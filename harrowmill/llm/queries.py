@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrowmill.llm import boilerplate, encoding, leakage, names, residue, sitelines
+from harrowmill.llm import boilerplate, encoding, leakage, mixing, names, reading, residue, sitelines
 from harrowmill.session import cut_lineage
 from harrowmill.sources.tables import table
 
@@ -79,6 +79,23 @@ def p8_paraphrased(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.paraphrased_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture_shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reading.reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
+
+
+def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents per language and reading level."""
+    return p10_levels(spark, sf_dir).groupBy("lang", "level").agg(F.count("*").alias("n"), F.round(F.avg("score"), 3).alias("mean_score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_reasons": p1_reasons,
@@ -92,6 +109,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_main_text": p6_main_text,
     "p8_found": p8_found,
     "p8_paraphrased": p8_paraphrased,
+    "p9_mixture": p9_mixture,
+    "p9_shares": p9_shares,
+    "p10_levels": p10_levels,
+    "p10_profile": p10_profile,
 }
 
 _P5 = r"""

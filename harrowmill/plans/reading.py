@@ -58,7 +58,7 @@ def raw_list(spark, d):
 @query("raw_by_url", "select id, url from raw_contents where url = (select min(url) from raw_contents)")
 def raw_by_url(spark, d):
     r = table(spark, d, "raw_contents").select("id", "url")
-    return r.join(F.broadcast(r.agg(F.min("url").alias("url"))), "url").select("id", "url")  # one row
+    return r.filter(F.col("url") == r.agg(F.min("url")).first()[0])
 
 
 @query("content_by_hash", "select content_hash, arg_min(id, id) as id, count(*) as copies from contents where content_hash <> '' group by content_hash")

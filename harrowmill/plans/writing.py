@@ -127,9 +127,9 @@ def enriched_upsert(spark, d):
 @query("raw_retention", "select count(*) filter (created_at >= cutoff) as kept, count(*) filter (created_at < cutoff) as dropped from raw_contents, (select max(created_at) - interval 90 day as cutoff from raw_contents)")
 def raw_retention(spark, d):
     r = table(spark, d, "raw_contents").select("created_at")
-    cut = r.agg((F.max("created_at") - F.expr("interval 90 days")).alias("cutoff"))
-    kept = F.col("created_at") >= F.col("cutoff")
-    return r.crossJoin(F.broadcast(cut)).agg(F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped"))  # one row
+    cutoff = r.agg(F.unix_micros(F.max("created_at") - F.expr("interval 90 days"))).first()[0]
+    kept = F.unix_micros("created_at") >= cutoff
+    return r.agg(F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped"))
 
 
 @query("delete_by_id", "select count(*) as n from entities e where not exists (select 1 from contents c where c.id = e.content_id and c.word_count = 0)")
@@ -153,8 +153,8 @@ def dlq_split(spark, d):
 @query("count_by_country", "select k.country, coalesce(n, 0)::bigint as n from (values ('US'), ('KR'), ('JP')) k(country) left join (select country, count(*) as n from contents, (select max(created_at) - interval 365 day as cut from contents) where created_at >= cut group by 1) c using (country)")
 def count_by_country(spark, d):
     c = table(spark, d, "contents").select("country", "created_at")
-    cut = c.agg((F.max("created_at") - F.expr("interval 365 days")).alias("cut"))
-    n = c.crossJoin(F.broadcast(cut)).filter("created_at >= cut").groupBy("country").agg(F.count("*").alias("n"))  # one row
+    cut = c.agg(F.unix_micros(F.max("created_at") - F.expr("interval 365 days"))).first()[0]
+    n = c.filter(F.unix_micros("created_at") >= cut).groupBy("country").agg(F.count("*").alias("n"))
     return spark.createDataFrame([("US",), ("KR",), ("JP",)], "country string").join(n, "country", "left").select("country", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -208,8 +208,8 @@ def drain_quota(spark, d):
 @query("retry_due", f"with {_JOBS} select id, ms from jobs where p = 1 and ms <= (select median_ms from (select (min(ms) + max(ms)) // 2 as median_ms from jobs)) order by ms, id limit 50")
 def retry_due(spark, d):
     j = _jobs(spark, d)
-    now = j.agg(F.floor((F.min("arrival_ms") + F.max("arrival_ms")) / 2).alias("now"))
-    due = j.filter("priority = '1'").crossJoin(F.broadcast(now)).filter("arrival_ms <= now")  # one row
+    now = j.agg(F.floor((F.min("arrival_ms") + F.max("arrival_ms")) / 2)).first()[0]
+    due = j.filter((F.col("priority") == "1") & (F.col("arrival_ms") <= now))
     return due.orderBy("arrival_ms", "id").limit(50).select("id", F.col("arrival_ms").alias("ms"))
 
 

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from harrowmill.session import cut_lineage
@@ -180,6 +181,6 @@ def mixture_shares(docs: DataFrame, targets: DataFrame, **options) -> DataFrame:
     )
     named = targets.select("source", "target_share", "max_repeats").filter(F.col("source").isNotNull()).dropDuplicates(["source"])
     out = named.join(F.broadcast(got), "source", "left").fillna(0, ["docs", "draws", "tokens", "most_copies"])
-    total = got.agg(F.sum("tokens").alias("_total"))
-    share = F.coalesce(F.round(F.col("tokens") / F.col("_total"), 6), F.lit(0.0)).alias("actual_share")
-    return out.crossJoin(F.broadcast(total)).select("source", "target_share", "max_repeats", "docs", "draws", "tokens", "most_copies", share)  # one row
+    total = F.sum("tokens").over(W.partitionBy(F.lit(0)))  # one row per target
+    share = F.when(total > 0, F.round(F.col("tokens") / total, 6)).otherwise(F.lit(0.0)).alias("actual_share")
+    return out.select("source", "target_share", "max_repeats", "docs", "draws", "tokens", "most_copies", share)

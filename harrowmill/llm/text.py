@@ -8,19 +8,29 @@ import unicodedata
 WORD = re.compile(r"[^\W_]+")
 
 
+class _Folded(dict):
+    """Folded form per character, worked out when a character is first met; Hangul syllables stay whole."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        if 0xAC00 <= code <= 0xD7A3:
+            out = c
+        else:
+            out = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)).casefold()
+        self[code] = out
+        return out
+
+
+_FOLDED = _Folded()
+
+
 def fold(text: str) -> str:
     """Case folded, accents removed."""
     if text.isascii():
         return text.lower()
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).casefold()
+    return unicodedata.normalize("NFC", text).translate(_FOLDED)
 
 
 def words(text: str | None) -> list[str]:
     """Runs of letters and digits, without case and accents."""
-    if not text:
-        return []
-    folded = fold(text)
-    # Hangul is decomposed by NFKD; it is composed again so that syllables stay single letters.
-    if not folded.isascii():
-        folded = unicodedata.normalize("NFC", folded)
-    return WORD.findall(folded)
+    return WORD.findall(fold(text)) if text else []

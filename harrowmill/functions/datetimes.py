@@ -45,6 +45,11 @@ NOTATIONS: list[tuple[str, str, str]] = [
 ]
 
 
+def ntz_micros(column: str) -> Column:
+    """Microseconds since 1970 of a timestamp without zone, read as UTC whatever the session's zone."""
+    return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {column})")
+
+
 def _month_map() -> Column:
     pairs: dict[str, int] = {}
     for names in MONTHS.values():

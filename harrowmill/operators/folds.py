@@ -1,72 +1,105 @@
-"""Order-dependent state machines as folds over the events of one key.
+"""Order-dependent state machines over the events of one key.
 
-Events of a key are gathered in an array; where keys can be hot the streaming versions, which keep
-one row of state a key, are the ones to use.
+Rows are brought together by key and sorted within partitions; each task then walks through its
+rows batch by batch and carries only the state of the current key.  A key with a third of all
+events is walked by one task, as its order demands, but it is never gathered in memory.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Callable, Iterator
+from typing import Any
 
+import pandas as pd
+from pyspark.sql import DataFrame
 
-def _sorted(events: DataFrame, keys: list[str], *fields: str) -> DataFrame:
-    return events.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_e"))
+
+def walk(events: DataFrame, keys: list[str], fields: list[str], schema: str, fresh: Callable[[], Any], step: Callable[[Any, tuple], list | None], close: Callable[[Any], list | None] | None = None) -> DataFrame:
+    """Runs step(state, row) over the rows of each key in (ts_us, id) order; step and close may return output rows without keys."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, state = None, None
+        for b in batches:
+            out: list[tuple] = []
+            for row in b.itertuples(index=False, name=None):
+                key, rest = row[: len(keys)], row[len(keys) :]
+                if key != current:
+                    if current is not None and close:
+                        out += [(*current, *r) for r in close(state) or []]
+                    current, state = key, fresh()
+                out += [(*key, *r) for r in step(state, rest) or []]
+            yield pd.DataFrame(out, columns=names)
+        if current is not None and close:
+            yield pd.DataFrame([(*current, *r) for r in close(state) or []], columns=names)
+
+    order = [*keys, *[c for c in ("ts_us", "id")]]
+    return events.select(*keys, *fields).repartition(*keys).sortWithinPartitions(*order).mapInPandas(run, schema)
+
+
+def _with_keys(events: DataFrame, keys: list[str], rest: str) -> str:
+    types = dict(events.dtypes)
+    return ", ".join(f"{k} {types[k]}" for k in keys) + ", " + rest
 
 
 def ttl_accepts(events: DataFrame, keys: list[str], ttl: int) -> DataFrame:
     """(keys, ts_us, accepted): an event is accepted unless one was accepted less than ttl before; rejects do not extend."""
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<struct<ts_us:bigint,accepted:boolean>>").alias("out"))
 
-    def step(acc: Column, e: Column) -> Column:
-        ok = acc["last"].isNull() | (e["ts_us"] >= acc["last"] + ttl)
-        return F.struct(F.when(ok, e["ts_us"]).otherwise(acc["last"]).alias("last"), F.concat(acc["out"], F.array(F.struct(e["ts_us"].alias("ts_us"), ok.alias("accepted")))).alias("out"))
+    def step(state: dict, row: tuple) -> list:
+        t = int(row[0])
+        ok = state["last"] is None or t >= state["last"] + ttl
+        if ok:
+            state["last"] = t
+        return [(t, ok)]
 
-    return _sorted(events, keys, "ts_us", "id").select(*keys, F.explode(F.aggregate("_e", start, step)["out"]).alias("o")).select(*keys, "o.ts_us", "o.accepted")
+    return walk(events, keys, ["ts_us", "id"], _with_keys(events, keys, "ts_us bigint, accepted boolean"), lambda: {"last": None}, step)
 
 
 def token_bucket(events: DataFrame, keys: list[str], per_hour: float, burst: float) -> DataFrame:
     """(keys, allowed, refused): bucket of `burst` tokens refilled at per_hour/3600 a second; per_hour <= 0 is unlimited."""
-    if per_hour <= 0:
-        return events.groupBy(*keys).agg(F.count("*").alias("allowed"), F.lit(0).cast("bigint").alias("refused"))
-    start = F.struct(F.lit(float(burst)).alias("tokens"), F.lit(None).cast("bigint").alias("at"), F.lit(0).cast("bigint").alias("allowed"), F.lit(0).cast("bigint").alias("refused"))
 
-    def step(acc: Column, e: Column) -> Column:
-        gap = F.coalesce(e["ts_us"] - acc["at"], F.lit(0)) / 1e6
-        have = F.least(acc["tokens"] + gap * (per_hour / 3600.0), F.lit(float(burst)))
-        ok = have >= 1.0
-        return F.struct(
-            F.when(ok, have - 1.0).otherwise(have).alias("tokens"), e["ts_us"].alias("at"),
-            (acc["allowed"] + F.when(ok, 1).otherwise(0)).cast("bigint").alias("allowed"), (acc["refused"] + F.when(ok, 0).otherwise(1)).cast("bigint").alias("refused"),
-        )
+    def step(state: dict, row: tuple) -> None:
+        t = int(row[0])
+        if state["at"] is not None:
+            state["tokens"] = min(state["tokens"] + (t - state["at"]) / 1e6 * (per_hour / 3600.0), float(burst))
+        state["at"] = t
+        if per_hour <= 0 or state["tokens"] >= 1.0:
+            state["tokens"] -= per_hour > 0
+            state["allowed"] += 1
+        else:
+            state["refused"] += 1
 
-    s = _sorted(events, keys, "ts_us", "id").select(*keys, F.aggregate("_e", start, step).alias("s"))
-    return s.select(*keys, "s.allowed", "s.refused")
+    schema = _with_keys(events, keys, "allowed bigint, refused bigint")
+    return walk(events, keys, ["ts_us", "id"], schema, lambda: {"tokens": float(burst), "at": None, "allowed": 0, "refused": 0}, step, lambda s: [(s["allowed"], s["refused"])])
 
 
-def circuit_breaker(events: DataFrame, keys: list[str], failures: int, cooldown_us: int, reset_on_other: bool = True) -> DataFrame:
+def circuit_breaker(events: DataFrame, keys: list[str], failures: int, cooldown_us: int) -> DataFrame:
     """(keys, admitted, rejected, opened): `failures` failures in a row open it; after the cooldown one probe decides."""
-    start = F.struct(F.lit(0).alias("run"), F.lit(None).cast("bigint").alias("until"), *[F.lit(0).cast("bigint").alias(c) for c in ("admitted", "rejected", "opened")])
 
-    def step(acc: Column, e: Column) -> Column:
-        blocked = acc["until"].isNotNull() & (e["ts_us"] < acc["until"])
-        probe = acc["until"].isNotNull() & ~blocked
-        run = F.when(e["ok"], F.lit(0)).otherwise(acc["run"] + 1)
-        trips = ~blocked & ~e["ok"] & (probe | (run >= failures))
-        return F.struct(
-            F.when(blocked, acc["run"]).when(trips, F.lit(0)).otherwise(run).alias("run"),
-            F.when(blocked, acc["until"]).when(trips, e["ts_us"] + cooldown_us).otherwise(F.lit(None).cast("bigint")).alias("until"),
-            (acc["admitted"] + F.when(blocked, 0).otherwise(1)).cast("bigint").alias("admitted"),
-            (acc["rejected"] + F.when(blocked, 1).otherwise(0)).cast("bigint").alias("rejected"),
-            (acc["opened"] + F.when(trips, 1).otherwise(0)).cast("bigint").alias("opened"),
-        )
+    def step(state: dict, row: tuple) -> None:
+        t, ok = int(row[0]), bool(row[2])
+        if state["until"] is not None and t < state["until"]:
+            state["rejected"] += 1
+            return
+        probe = state["until"] is not None
+        state["admitted"] += 1
+        state["run"] = 0 if ok else state["run"] + 1
+        if not ok and (probe or state["run"] >= failures):
+            state.update(until=t + cooldown_us, run=0, opened=state["opened"] + 1)
+        else:
+            state["until"] = None
 
-    s = _sorted(events, keys, "ts_us", "id", "ok").select(*keys, F.aggregate("_e", start, step).alias("s"))
-    return s.select(*keys, "s.admitted", "s.rejected", "s.opened")
+    schema = _with_keys(events, keys, "admitted bigint, rejected bigint, opened bigint")
+    fresh = lambda: {"run": 0, "until": None, "admitted": 0, "rejected": 0, "opened": 0}
+    return walk(events, keys, ["ts_us", "id", "ok"], schema, fresh, step, lambda s: [(s["admitted"], s["rejected"], s["opened"])])
 
 
 def smoothed(events: DataFrame, keys: list[str], value: str, alpha: float = 0.2) -> DataFrame:
     """(keys, ema, n): exponential moving average in event order, the first sample is the seed."""
-    start = F.lit(None).cast("double")
-    step = lambda acc, e: F.when(acc.isNull(), e[value]).otherwise(alpha * e[value] + (1 - alpha) * acc)
-    return _sorted(events, keys, "ts_us", "id", value).select(*keys, F.aggregate("_e", start, step).alias("ema"), F.size("_e").alias("n"))
+
+    def step(state: dict, row: tuple) -> None:
+        v = float(row[2])
+        state["ema"] = v if state["n"] == 0 else alpha * v + (1 - alpha) * state["ema"]
+        state["n"] += 1
+
+    return walk(events, keys, ["ts_us", "id", value], _with_keys(events, keys, "ema double, n int"), lambda: {"ema": None, "n": 0}, step, lambda s: [(s["ema"], s["n"])])

@@ -193,10 +193,12 @@ def prompt_render(spark, d):
     return table(spark, d, "contents").select("id", E.render("Title: {title} ({language})", {"title": F.col("title"), "language": F.col("language")}).alias("prompt"))
 
 
-@query("classify_batch", "select source_id, count(*) as total, string_agg(substr(coalesce(title, ''), 1, 20), '|' order by id) as previews from contents group by 1")
+@query("classify_batch", "select source_id, (epoch_us(created_at) // 86400000000)::bigint as day, count(*) as total, string_agg(substr(coalesce(title, ''), 1, 20), '|' order by id) as previews from contents group by 1, 2")
 def classify_batch(spark, d):
-    c = table(spark, d, "contents").groupBy("source_id").agg(F.count("*").alias("total"), F.array_sort(F.collect_list(F.struct("id", F.substring(F.coalesce("title", F.lit("")), 1, 20).alias("p")))).alias("l"))
-    return c.select("source_id", "total", F.array_join(F.transform("l", lambda x: x["p"]), "|").alias("previews"))
+    """One envelope per source and day of arrival, so that no envelope grows with the archive."""
+    day = F.floor(F.unix_seconds("created_at") / 86400).alias("day")
+    c = table(spark, d, "contents").groupBy("source_id", day).agg(F.count("*").alias("total"), F.array_sort(F.collect_list(F.struct("id", F.substring(F.coalesce("title", F.lit("")), 1, 20).alias("p")))).alias("l"))
+    return c.select("source_id", "day", "total", F.array_join(F.transform("l", lambda x: x["p"]), "|").alias("previews"))
 
 
 @query("enrich_cascade", "with e as (select content_id, count(*) as n from entities group by 1), c as (select content_id, count(*) as n from claims where claim_idx > 0 group by 1) select id, e.n as entities, c.n as more_claims, e.n is not null and c.n is not null as complete from contents left join e on e.content_id = id left join c on c.content_id = id")

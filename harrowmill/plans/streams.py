@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from harrowmill.functions.datetimes import ntz_micros
 from harrowmill.operators import queueing as Q, validate as V
 from harrowmill.plans import fixtures as X
 from harrowmill.plans.registry import Registry
@@ -17,7 +18,7 @@ query = Registry()
 def _events(spark, d):
     schema = table(spark, d, "events").schema
     e = S.event_stream(spark, d, "events.parquet", schema)
-    return e.select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("id"), F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), F.col("event_type").alias("kind"))
+    return e.select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("id"), ntz_micros("ts").alias("ts_us"), F.col("event_type").alias("kind"))
 
 
 @query("stream_validate", f"{_CODED} select id, valid, code from coded")

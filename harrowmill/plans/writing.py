@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from harrowmill.functions import urls as U
+from harrowmill.functions.datetimes import ntz_micros
 from harrowmill.operators import folds, queueing as Q, store as St, validate as V, windows as Wn
 from harrowmill.plans import fixtures as X
 from harrowmill.plans.reading import _HOST
@@ -179,7 +180,7 @@ _P = "case when p between 1 and 3 then p else 2 end"
 
 def _jobs(spark, d):
     o = table(spark, d, "orders")
-    ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    ms = F.floor(ntz_micros("o_orderdate") / 1000)
     return o.select(F.col("o_orderkey").alias("id"), F.substring("o_orderpriority", 1, 1).alias("priority"), ms.alias("arrival_ms"))
 
 
@@ -295,7 +296,7 @@ _HOUR = 3_600_000_000
 
 def _events(spark, d):
     e = table(spark, d, "events")
-    return e.select(F.col("event_id").alias("id"), F.col("user_id").alias("host"), F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "event_type", "value")
+    return e.select(F.col("event_id").alias("id"), F.col("user_id").alias("host"), ntz_micros("ts").alias("ts_us"), "event_type", "value")
 
 
 @query("failure_window", f"with {_EV}, w as (select id, host, ts_us, count(*) over (partition by host order by ts_us range between {48 * _HOUR - 1} preceding and current row) as cnt from ev where event_type = 'error') select id, cnt from w where cnt >= 2")

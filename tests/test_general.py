@@ -1,5 +1,6 @@
 """Problems 3 and 7 on small tables: nulls, ties, repeated rows, empty tables, clashing columns, brute force."""
 
+import random
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
@@ -41,6 +42,33 @@ def test_new_messages(spark):
     assert [r.delivery_id for r in M.new_messages(new, M.first_deliveries(old)).collect()] == [3]
 
 
+def test_new_messages_share_identities_with_the_store(spark):
+    old = refs(spark, [("n", 1, t(1), "a", "u"), ("n", 2, t(1), None, "v")])
+    new = refs(spark, [("n", 3, t(2), None, "u"), ("n", 4, t(2), "b", "v"), ("n", 5, t(3), "c", "v"), ("n", 6, t(3), "", "v"), ("m", 7, t(3), "b", "v")])
+    assert sorted(r.delivery_id for r in M.new_messages(new, M.first_deliveries(old)).collect()) == [5, 7]
+
+
+def test_further_url_of_a_stored_id(spark):
+    stored = M.store_after(M.first_deliveries(refs(spark, [("n", 1, t(1), "a", "u")])), refs(spark, [("n", 2, t(2), "a", "v"), ("n", 3, t(2), "a", "u")]))
+    assert [(r.message, r.delivery_id, r.copies, sorted(u.url for u in r.urls)) for r in stored.collect()] == [("i:a", 1, 3, ["u", "v"])]
+    assert M.new_messages(refs(spark, [("n", 4, t(3), None, "v")]), stored).count() == 0
+
+
+def test_batches_keep_what_the_whole_keeps(spark):
+    # An id keeps to its url, else two kept deliveries may turn out to be one only after both were stored.
+    rng, rows = random.Random(7), []
+    for i in range(60):
+        url = rng.choice(["u", "v", "w", "x", "y", "z", None])
+        rows.append((rng.choice("nm"), i, t(i // 5), rng.choice([f"{url}1", f"{url}2", None, ""]), url))
+    stored, kept = M.first_deliveries(refs(spark, rows[:15])), []
+    kept += [r.delivery_id for r in stored.collect()]
+    for lo in (15, 30, 45):
+        batch = refs(spark, rows[lo : lo + 15])
+        kept += [r.delivery_id for r in M.new_messages(batch, stored).collect()]
+        stored = M.store_after(stored, batch).localCheckpoint()
+    assert sorted(kept) == sorted(r.delivery_id for r in M.unique_deliveries(refs(spark, rows)).collect())
+
+
 def read(spark, rows):
     df = spark.createDataFrame([(i, *r, "x", "y") for i, r in enumerate(rows)], "i int, text string, zone string, country string, status string, offset_s string")
     return [tuple(r) for r in T.normalize_timestamps(df).orderBy("i").select("epoch_ms", "status").collect()]

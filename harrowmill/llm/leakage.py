@@ -8,11 +8,13 @@ with an item window reaches the threshold are candidates, which are then compare
 
 Only words of the items carry weight, so the right factor has one row per item word: it is bounded
 by the stated item set (max_items per block, more items are processed block after block), not by
-the corpus.  A passage with fewer than `run` item words cannot hold a run of an item and is skipped.
+the corpus.  A passage with fewer item words than a run or, where paraphrases are wanted, than the
+least subsequence asked for, cannot hold either and is skipped.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -61,8 +63,8 @@ def _weighted(windows: list, idf: np.ndarray) -> np.ndarray:
     return m / np.where(norm == 0, 1, norm)
 
 
-def _passages(docs: DataFrame, items: ItemSet) -> DataFrame:
-    """(doc_id, start, terms) of passages that may hold a run, and (null, term, [df, passages]) counts per task."""
+def _passages(docs: DataFrame, items: ItemSet, least: int) -> DataFrame:
+    """(doc_id, start, terms) of passages with at least `least` item words, and (null, term, [df, passages]) counts per task."""
     vocab, run, width = items.vocab, items.run, WIDTH
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -77,7 +79,7 @@ def _passages(docs: DataFrame, items: ItemSet) -> DataFrame:
                     seen = {x for x in t if x >= 0}
                     if seen:
                         df[list(seen)] += 1
-                    if sum(x >= 0 for x in t) >= run:
+                    if sum(x >= 0 for x in t) >= least:
                         out.append((doc, s, t))
             if out:
                 yield pd.DataFrame(out, columns=["doc_id", "start", "terms"])
@@ -142,15 +144,17 @@ def _lcs(a: list[int], b: list[int]) -> int:
 
 def leaked_passages(
     docs: DataFrame, items: DataFrame, *, run: int = RUN, step: int = 3, rank: int = 160, power: int = 2, threshold: float = 0.45,
-    close: float = 0.85, max_items: int = 2000, seed: int = 11,
+    lcs: float | None = 0.75, keys: float = 0.75, max_items: int = 2000, seed: int = 11,
 ) -> DataFrame:
     """(doc_id, item_id, score, longest_run, lcs_share, key_share): candidates checked word by word.
 
     score: best latent cosine of a passage with a window of the item.  longest_run: `run` or more if
-    a passage holds that many consecutive words of the item (else 0).  lcs_share: best share of an
-    item window that is a subsequence of the passage, and key_share: share of its numbers and rare
-    words (its answers) found there; both are computed for windows with a cosine of at least `close`,
-    which also keeps paraphrases as rows.  Null or empty texts and items hold nothing; items shorter
+    a passage holds that many consecutive words of the item (else 0).  lcs_share: share of an item
+    window that is a subsequence of the passage, and key_share: share of its numbers and rare words
+    (its answers) found there; both are of one window and passage, the best of those that reach `lcs`
+    and `keys`, else the best that reaches `lcs`.  Every candidate is checked, whatever its cosine; a
+    window that shares too few words with the passage to reach `lcs` counts as 0.  lcs None leaves
+    paraphrases out.  Null or empty texts and items hold nothing; items shorter
     than `run` words are compared as paraphrases only; equal texts each get their rows; repeated rows
     of a doc_id give one row per item.
     """
@@ -162,15 +166,18 @@ def leaked_passages(
         block = ItemSet(stated[lo : lo + max_items], run, step)
         if not block.vocab:
             continue
-        found = _search(docs, block, rank, power, threshold, close, seed, schema)
+        found = _search(docs, block, rank, power, threshold, lcs, keys, seed, schema)
         result = found if result is None else result.unionByName(found)
     if result is None:
         return docs.sparkSession.createDataFrame([], schema)
     return result
 
 
-def _search(docs, items: ItemSet, rank, power, threshold, close, seed, schema) -> DataFrame:
-    cut = cut_lineage(_passages(docs, items))
+def _search(docs, items: ItemSet, rank, power, threshold, lcs, keys, seed, schema) -> DataFrame:
+    # Matches that a window needs to reach the share asked for.
+    needed = [max(1, math.ceil(lcs * len(w) - 1e-9)) for w in items.windows] if lcs is not None else []
+    least = min([items.run, *(n for n, w in zip(needed, items.windows) if w)])
+    cut = cut_lineage(_passages(docs, items, least))
     counts = cut.filter(F.col("doc_id").isNull()).groupBy("start").agg(
         F.sum(F.element_at("terms", 1).cast("bigint")).alias("df"), F.sum(F.element_at("terms", 2).cast("bigint")).alias("n")
     )
@@ -203,13 +210,17 @@ def _search(docs, items: ItemSet, rank, power, threshold, close, seed, schema) -
                     if not len(near):
                         continue
                     best: dict[int, list] = {}
+                    held = set(t)
                     for k in near:
                         b = best.setdefault(int(owner[k]), [0.0, 0, 0.0, 0.0])
                         b[0] = max(b[0], float(row[k]))
-                        if row[k] >= close and windows[k]:
-                            share = _lcs(windows[k], t) / len(windows[k])
-                            if share > b[2]:
-                                b[2], b[3] = share, len(keyed[k] & set(t)) / max(1, len(keyed[k]))
+                        if lcs is None or not windows[k] or sum(x in held for x in windows[k]) < needed[k]:
+                            continue
+                        share = _lcs(windows[k], t) / len(windows[k])
+                        if share >= lcs:
+                            key = len(keyed[k] & held) / max(1, len(keyed[k]))
+                            if (key >= keys, share, key) > (b[3] >= keys, b[2], b[3]):
+                                b[2], b[3] = share, key
                     for s in range(len(t) - run + 1):
                         for i in grams.get(tuple(t[s : s + run]), ()):
                             if i in best:
@@ -218,18 +229,18 @@ def _search(docs, items: ItemSet, rank, power, threshold, close, seed, schema) -
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "score", "longest_run", "lcs_share", "key_share"])
 
     hits = passages.mapInPandas(search, schema)
-    return hits.groupBy("doc_id", "item_id").agg(
-        F.max("score").alias("score"), F.max("longest_run").alias("longest_run"),
-        F.max("lcs_share").alias("lcs_share"), F.max("key_share").alias("key_share"),
-    )
+    # Both shares of one window: the highest of each apart may belong to different places.
+    best = F.max(F.struct((F.col("key_share") >= keys).alias("ok"), "lcs_share", "key_share")).alias("_b")
+    found = hits.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.max("longest_run").alias("longest_run"), best)
+    return found.select("doc_id", "item_id", "score", "longest_run", F.col("_b.lcs_share").alias("lcs_share"), F.col("_b.key_share").alias("key_share"))
 
 
 def leaked_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """(doc_id, item_id) of documents that hold at least `run` consecutive words of an item."""
-    return leaked_passages(docs, items, **options).filter(F.col("longest_run") > 0).select("doc_id", "item_id")
+    return leaked_passages(docs, items, lcs=None, **options).filter(F.col("longest_run") > 0).select("doc_id", "item_id")
 
 
 def paraphrased_documents(docs: DataFrame, items: DataFrame, lcs: float = 0.75, keys: float = 0.75, **options) -> DataFrame:
     """Documents without a full run that still hold most of a window in order, with its numbers and rare words."""
-    near = leaked_passages(docs, items, **options)
+    near = leaked_passages(docs, items, lcs=lcs, keys=keys, **options)
     return near.filter((F.col("longest_run") == 0) & (F.col("lcs_share") >= lcs) & (F.col("key_share") >= keys)).drop("longest_run")

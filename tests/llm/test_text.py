@@ -133,6 +133,23 @@ def test_leaks_equal_brute_force(spark):
     assert L.leaked_documents(df.limit(0), it).count() == 0 and L.leaked_documents(df, it.limit(0)).count() == 0
 
 
+def test_paraphrases_inside_other_text(spark):
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(30))) for i in range(20)]
+    docs = []
+    for d in range(60):
+        t = [f"z{rng.randrange(900)}" for _ in range(80)]
+        w = items[d % 20][1].split()[6:18]
+        for k in rng.sample(range(12), d % 3):
+            w[k] = f"z{k}"
+        t[36:36] = w if d % 4 else w[::-1]
+        docs.append((d, " ".join(t)))
+    df, it = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in L.paraphrased_documents(df, it, keys=0.0).collect()}
+    assert got == {(d, d % 20) for d in range(60) if d % 4 and d % 3}
+
+
 def test_words_ignore_case_accents_and_punctuation():
     assert words("Éa-B  c_d’e 가나1") == ["ea", "b", "c", "d", "e", "가나1"] and words(None) == []
 

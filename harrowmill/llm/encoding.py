@@ -312,10 +312,25 @@ def viterbi(cells: list[list[tuple[str, float]]], pairs: dict[tuple[str, str], f
 _EDGE = re.compile(r"^([\x00-\x2f:-@\[-`{-\x7f]*)(.*?)([\x00-\x2f:-@\[-`{-\x7f]*)$", re.S)
 
 
+#: What stands between words; in html also tags, with the words in their attributes left to be read.
+CUT = r"\s+"
+HTML_CUT = r"""\s+|<[^\s<>]*|>|[A-Za-z][A-Za-z0-9:_-]*=["']"""
+_CUTS_OF = {True: re.compile(f"({HTML_CUT})"), False: re.compile(f"({CUT})")}
+
+
 def _core(token: str) -> str:
     return _EDGE.match(token).group(2)
 
 
+def _parts(text: str, field: str) -> list[str]:
+    """Words at even places, what stands between them at odd ones; together the text."""
+    return _CUTS_OF[field == "html"].split(text)
+
+
+def _is_spot(token: str) -> bool:
+    return not token.isascii() and (LOST in token or _HAN_HANGUL.search(token) is not None)
+
+
 def restore_lost(damaged: DataFrame, fields: DataFrame, *, candidates: int = 8) -> DataFrame:
     """damaged_fields with lost characters filled in: (record_table, record_id, field, text, restored, open).
 
@@ -340,7 +355,7 @@ def restore_lost(damaged: DataFrame, fields: DataFrame, *, candidates: int = 8)
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = sorted({_core(t) for x in b["text"] for t in x.split() if not t.isascii() and (LOST in t or _HAN_HANGUL.search(t))})
+            out = sorted({_core(t) for x, f in zip(b["text"], b["field"]) for t in _parts(x, f)[::2] if _is_spot(t)})
             yield pd.DataFrame({"shape": out})
 
     # Cells without any known character fit every word of their length and are left open.
@@ -348,7 +363,8 @@ def restore_lost(damaged: DataFrame, fields: DataFrame, *, candidates: int = 8)
     best = F.slice(F.sort_array(F.collect_list(F.struct("n", "word")), asc=False), 1, candidates).alias("words")
     ranked = vocabulary.join(wanted, "shape").groupBy("shape").agg(best)
     # Candidates are brought to the fields that need them: one row per field and shape, gathered per field.
-    need = lost.select(*keys, F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("token")).filter(F.col("token").rlike(r"[^\x00-\x7f]"))
+    pieces = F.when(F.col("field") == "html", F.split("text", HTML_CUT)).otherwise(F.split("text", CUT))
+    need = lost.select(*keys, F.explode(F.array_distinct(pieces)).alias("token")).filter(F.col("token").rlike(r"[^\x00-\x7f]"))
     need = need.withColumn("shape", F.regexp_replace("token", r"^[\x00-\x2f:-@\[-`{-\x7f]+|[\x00-\x2f:-@\[-`{-\x7f]+$", ""))
     found = need.select(*keys, "shape").distinct().join(ranked, "shape").groupBy(*keys).agg(F.collect_list(F.struct("shape", "words")).alias("found"))
 
@@ -357,8 +373,8 @@ def restore_lost(damaged: DataFrame, fields: DataFrame, *, candidates: int = 8)
             out = []
             for table, rid, field, text, known in zip(b["record_table"], b["record_id"], b["field"], b["text"], b["found"]):
                 words = {k["shape"]: [(w["word"], float(np.log(w["n"]))) for w in k["words"]] for k in (known if known is not None else [])}
-                parts = re.split(r"(\s+)", text)
-                spots = [i for i, t in enumerate(parts) if t and not t.isascii() and (LOST in t or _HAN_HANGUL.search(t))]
+                parts = _parts(text, field)
+                spots = [i for i in range(0, len(parts), 2) if _is_spot(parts[i])]
                 # A word that is lost as a whole says nothing about itself.
                 cells = [words.get(k, []) if (k := _core(parts[i])).strip(LOST) else [] for i in spots]
                 chosen = viterbi(cells)

@@ -97,6 +97,14 @@ def test_lost_bytes_are_filled_from_the_corpus(spark):
     assert r.text == "le café resté q�q vide �" and (r.restored, r.open) == (2, 2)
 
 
+def test_lost_bytes_beside_tags(spark):
+    page = "<h1>{}Joint caf{} of Wynemark{}</h1><p title='caf{}'>The caf{}<br>rest{}</p>"
+    rows = [("raw_contents", f"g{i}", "html", page.format("“", "é", "”", "é", "é", "é")) for i in range(3)] + [("raw_contents", "bad", "html", page.format(*"\ufffd" * 6))]
+    f = spark.createDataFrame(rows, "record_table string, record_id string, field string, value string")
+    r = E.restore_lost(E.damaged_fields(f), f).first()
+    assert r.text == rows[0][3] and (r.restored, r.open) == (6, 0)
+
+
 def test_viterbi_and_lattice():
     assert E.viterbi([[("a", 1.0), ("b", 0.9)], [("c", 1.0)], [], [("d", 0.0)]], {("b", "c"): 1.0}) == ["b", "c", None, "d"]
     assert E.fits(E.lattice("caf�"), b"caf\xe9") and not E.fits(E.lattice("caf�"), b"cafes")

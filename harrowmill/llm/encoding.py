@@ -4,10 +4,10 @@ The channel: text was written as bytes of one encoding and read in another, once
 Each pair of encodings gives characters that stand for lead and following bytes; stretches of such
 characters are turned back into bytes and read rightly if that gives letters or signs in use.
 
-Bytes that the wrong reading could not show are lost (U+FFFD).  A stretch with lost bytes becomes a
-byte lattice: known bytes, and wildcards for lost ones.  The words of the whole corpus are sent
-through the same channel; words that fit a cell of the lattice are joined to it by their shape, and
-a Viterbi search takes the path of greatest word frequency through the cells of the stretch.
+Bytes that the wrong reading could not show are lost (U+FFFD).  The words of the whole corpus are sent
+through the same channel; those that come out as a damaged word are joined to it by that shape, which
+stands for the byte lattice (known bytes, wildcards for lost ones) that `lattice` and `fits` spell out.
+A Viterbi search takes the path of greatest frequency of words and word pairs through the stretch.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harrowmill.session import cut_lineage
@@ -28,6 +28,8 @@ SINGLE = ("cp1252", "latin-1", "mac_roman", "cp1251", "cp1250", "cp437", "cp850"
 #: Multi-byte encodings in which UTF-8 is commonly misread.
 DOUBLE = ("cp949", "gbk", "cp932", "big5")
 MOST_ROUNDS = 4
+#: How many mentions of a word alone one mention beside the same neighbour is worth.
+PAIR_WEIGHT = 50.0
 
 
 def _image(codec: str) -> dict[int, str]:
@@ -336,8 +338,8 @@ def restore_lost(damaged: DataFrame, fields: DataFrame, *, candidates: int = 8)
 
     Word frequencies are counted over all fields that are not damaged, with no limit on the vocabulary; words meet
     damaged words by a join on their shape after the channel.  restored and open count damaged words of the field.
-    The `candidates` most frequent words of a shape enter the search; a less frequent one can never win, as all of
-    them explain the known bytes equally well.
+    Where several words have the shape, their pairs with the words that stand beside the damaged one are counted over
+    the same fields.  The `candidates` most frequent words of a shape and those seen beside its neighbours enter the search.
     """
     keys = ["record_table", "record_id", "field"]
     lost = cut_lineage(damaged.filter("lost").select(*keys, "text").dropDuplicates(keys))
@@ -360,8 +362,43 @@ def restore_lost(damaged: DataFrame, fields: DataFrame, *, candidates: int = 8)
 
     # Cells without any known character fit every word of their length and are left open.
     wanted = lost.mapInPandas(cells, "shape string").distinct().filter(F.translate("shape", LOST, "") != "")
-    best = F.slice(F.sort_array(F.collect_list(F.struct("n", "word")), asc=False), 1, candidates).alias("words")
-    ranked = vocabulary.join(wanted, "shape").groupBy("shape").agg(best)
+    options = cut_lineage(vocabulary.join(wanted, "shape"))
+    several = options.groupBy("shape").agg(F.count("*").alias("k")).filter("k > 1").select("shape")
+    unsure = options.join(several, "shape").select("shape", "word", "n")
+
+    def beside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for x, f in zip(b["value"], b["field"]):
+                t = [_core(w) for w in _parts(x, f)[::2] if w]
+                for i, w in enumerate(t):
+                    if not w.isascii():
+                        out += [(w, t[j], j > i) for j in (i - 1, i + 1) if 0 <= j < len(t)]
+            yield pd.DataFrame(out, columns=["word", "other", "after"])
+
+    def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = set()
+            for x, f in zip(b["text"], b["field"]):
+                raw = [w for w in _parts(x, f)[::2] if w]
+                for i, w in enumerate(raw):
+                    if _is_spot(w):
+                        out |= {(_core(w), _core(raw[j]), j > i, _is_spot(raw[j])) for j in (i - 1, i + 1) if 0 <= j < len(raw)}
+            yield pd.DataFrame(sorted(out), columns=["shape", "other", "after", "spot"])
+
+    # A damaged neighbour stands for each of its own words.
+    near = lost.mapInPandas(asked, "shape string, other string, after boolean, spot boolean").distinct().join(several, "shape")
+    theirs = options.select(F.col("shape").alias("other"), F.col("word").alias("meant"))
+    near = near.filter("not spot").select("shape", "other", "after").unionByName(
+        near.filter("spot").join(theirs, "other").select("shape", F.col("meant").alias("other"), "after")
+    ).distinct()
+    pairs = right.select("value", "field").mapInPandas(beside, "word string, other string, after boolean")
+    pairs = pairs.join(unsure.select("word").distinct(), "word", "left_semi").groupBy("word", "other", "after").agg(F.count("*").alias("m"))
+    met = unsure.join(near, "shape").join(pairs, ["word", "other", "after"])
+    met = met.groupBy("shape", "word").agg(F.collect_list(F.struct("other", "after", "m")).alias("beside"))
+    ranked = options.join(met, ["shape", "word"], "left").withColumn("rank", F.row_number().over(Window.partitionBy("shape").orderBy(F.desc("n"), F.desc("word"))))
+    ranked = ranked.filter((F.col("rank") <= candidates) | F.col("beside").isNotNull())
+    ranked = ranked.groupBy("shape").agg(F.sort_array(F.collect_list(F.struct("n", "word", "beside")), asc=False).alias("words"))
     # Candidates are brought to the fields that need them: one row per field and shape, gathered per field.
     pieces = F.when(F.col("field") == "html", F.split("text", HTML_CUT)).otherwise(F.split("text", CUT))
     need = lost.select(*keys, F.explode(F.array_distinct(pieces)).alias("token")).filter(F.col("token").rlike(r"[^\x00-\x7f]"))
@@ -376,8 +413,22 @@ def restore_lost(damaged: DataFrame, fields: DataFrame, *, candidates: int = 8)
                 parts = _parts(text, field)
                 spots = [i for i in range(0, len(parts), 2) if _is_spot(parts[i])]
                 # A word that is lost as a whole says nothing about itself.
-                cells = [words.get(k, []) if (k := _core(parts[i])).strip(LOST) else [] for i in spots]
-                chosen = viterbi(cells)
+                at = {i: words.get(k, []) if (k := _core(parts[i])).strip(LOST) else [] for i in spots}
+                bonus: dict[tuple[str, str], float] = {}
+                for k in known if known is not None else []:
+                    for w in k["words"]:
+                        for p in w["beside"] if w["beside"] is not None else []:
+                            pair = (w["word"], p["other"]) if p["after"] else (p["other"], w["word"])
+                            bonus[pair] = max(bonus.get(pair, 0.0), float(np.log1p(PAIR_WEIGHT * p["m"] / w["n"])))
+                # Damaged words with the sound ones beside them; an empty cell parts what is not adjacent.
+                told = [i for i in range(0, len(parts), 2) if parts[i]]
+                beside_spot = {told[j] for n, i in enumerate(told) if i in at for j in (n - 1, n, n + 1) if 0 <= j < len(told)}
+                order, cells = [], []
+                for i in told:
+                    order.append(i)
+                    cells.append(at[i] if i in at else [(_core(parts[i]), 0.0)] if i in beside_spot else [])
+                best = dict(zip(order, viterbi(cells, bonus)))
+                chosen = [best[i] for i in spots]
                 for i, w in zip(spots, chosen):
                     if w is not None:
                         left, _, after = _EDGE.match(parts[i]).groups()

@@ -105,6 +105,14 @@ def test_lost_bytes_beside_tags(spark):
     assert r.text == rows[0][3] and (r.restored, r.open) == (6, 0)
 
 
+def test_neighbours_choose_between_words_of_one_shape(spark):
+    rows = [("contents", f"a{i}", "body", "il a marché vite") for i in range(9)] + [("contents", f"b{i}", "body", "le grand marchè noir") for i in range(2)]
+    rows += [("contents", "bad", "body", "le grand march\ufffd noir"), ("contents", "bad2", "body", "il a march\ufffd vite")]
+    f = spark.createDataFrame(rows, "record_table string, record_id string, field string, value string")
+    got = {r.record_id: r.text for r in E.restore_lost(E.damaged_fields(f), f).collect()}
+    assert got == {"bad": "le grand marchè noir", "bad2": "il a marché vite"}
+
+
 def test_viterbi_and_lattice():
     assert E.viterbi([[("a", 1.0), ("b", 0.9)], [("c", 1.0)], [], [("d", 0.0)]], {("b", "c"): 1.0}) == ["b", "c", None, "d"]
     assert E.fits(E.lattice("caf�"), b"caf\xe9") and not E.fits(E.lattice("caf�"), b"cafes")

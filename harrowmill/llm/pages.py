@@ -11,10 +11,8 @@ import html as _html
 import re
 from typing import NamedTuple
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
-_SPACE = re.compile(r"[^\S\n]+")
-_MARK = "\x1f"
-_BREAKS = re.compile(r"\s*\n\s*")
+_ATTRIBUTES = r"[^'\">]*(?:(?:\"[^\"]*\"|'[^']*')[^'\">]*)*"
+_TAG = re.compile(rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*){_ATTRIBUTES}>", re.S)
 #: Elements whose content is never shown as text of the page.
 HIDDEN = {"script", "style", "noscript", "template", "iframe", "svg", "head", "title", "object", "textarea", "select"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
@@ -26,6 +24,9 @@ BLOCK = {
 #: Opening one of these ends an open element of the same group.
 IMPLIED = {"p": {"p"}, "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in HIDDEN}
+_KEEPS_LINK = {"p", "div", "li", "h1", "h2", "h3", "h4"}
+_SCOPES = {"table", "ul", "ol", "dl", "div", "body"}
 
 
 class Block(NamedTuple):
@@ -38,7 +39,7 @@ class Block(NamedTuple):
     parent: int
     #: number of rules (hr) before the block
     section: int
-    #: parts set in inline elements or lines of their own
+    #: its lines
     pieces: tuple[str, ...]
 
 
@@ -47,60 +48,73 @@ def page_blocks(page: str | None, keep_hidden: frozenset[str] = frozenset()) ->
     if not page:
         return []
     out: list[Block] = []
-    stack: list[tuple[str, int]] = []
+    names: list[str] = []
+    numbers: list[int] = [0]
     count, pos, end = 0, 0, len(page)
     buf: list[str] = []
     link_words = words = 0
     in_link = 0
     breaks = section = 0
     hidden = HIDDEN - keep_hidden
+    search = _TAG.search
 
     def flush() -> None:
         nonlocal buf, link_words, words
-        if buf:
-            raw = _SPACE.sub(" ", _html.unescape("".join(buf)))
-            text = _BREAKS.sub("\n", raw.replace(_MARK, "")).strip()
+        if words:
+            raw = "".join(buf)
+            if "&" in raw:
+                raw = _html.unescape(raw)
+            if "\n" in raw:
+                lines = tuple(x for x in (" ".join(y.split()) for y in raw.split("\n")) if x)
+                text = "\n".join(lines)
+            else:
+                text = " ".join(raw.split())
+                lines = (text,)
             if text:
-                pieces = tuple(x for x in (y.strip() for y in raw.replace("\n", _MARK).split(_MARK)) if x) if _MARK in raw or "\n" in text else (text,)
-                element, parent = (stack[-1][1] if stack else 0), (stack[-2][1] if len(stack) > 1 else 0)
-                out.append(Block(text, words, link_words, tuple(t for t, _ in stack), element, parent, section, pieces))
+                out.append(Block(text, words, link_words, tuple(names), numbers[-1], numbers[-2] if len(numbers) > 1 else 0, section, lines))
         buf, words, link_words = [], 0, 0
 
     while pos < end:
-        m = _TAG.search(page, pos)
-        chunk = page[pos : m.start()] if m else page[pos:]
-        if chunk:
+        m = search(page, pos)
+        start = m.start() if m else end
+        if start > pos:
+            chunk = page[pos:start]
             n = len(chunk.split())
             if n:
                 words += n
-                link_words += n if in_link else 0
+                if in_link:
+                    link_words += n
                 breaks = 0
             buf.append(chunk)
         if not m:
             break
         pos = m.end()
-        name = m.group(2)
+        closing, name = m.groups()
         if not name:
             continue
         name = name.lower()
-        if m.group(1):
-            if name in ("a", "span"):
-                in_link = in_link if name == "span" else 0
-                buf.append(_MARK)
+        if closing:
+            if name == "a":
+                in_link = 0
+                buf.append(" ")
+            elif name == "span":
+                buf.append(" ")
             elif name in BLOCK:
                 flush()
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
+                for k in range(len(names) - 1, -1, -1):
+                    if names[k] == name:
+                        del names[k:], numbers[k + 1 :]
                         break
             continue
         if name in hidden:
-            stop = re.compile(rf"</{name}\s*>", re.I).search(page, pos)
+            stop = _CLOSING[name].search(page, pos)
             pos = stop.end() if stop else (end if name not in ("head", "select") else pos)
             continue
-        if name in ("a", "span"):
-            in_link = 1 if name == "a" else in_link
-            buf.append(_MARK)
+        if name == "a":
+            in_link = 1
+            buf.append(" ")
+        elif name == "span":
+            buf.append(" ")
         elif name == "br":
             # One line break keeps the block, an empty line ends it.
             breaks += 1
@@ -111,17 +125,18 @@ def page_blocks(page: str | None, keep_hidden: frozenset[str] = frozenset()) ->
         elif name in BLOCK:
             flush()
             section += name == "hr"
-            in_link = in_link if name in ("p", "div", "li", "h1", "h2", "h3", "h4") else 0
+            in_link = in_link if name in _KEEPS_LINK else 0
             group = IMPLIED.get(name)
             if group:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in group:
-                        del stack[k:]
+                for k in range(len(names) - 1, -1, -1):
+                    if names[k] in group:
+                        del names[k:], numbers[k + 1 :]
                         break
-                    if stack[k][0] in ("table", "ul", "ol", "dl", "div", "body"):
+                    if names[k] in _SCOPES:
                         break
             if name not in VOID:
                 count += 1
-                stack.append((name, count))
+                names.append(name)
+                numbers.append(count)
     flush()
     return out

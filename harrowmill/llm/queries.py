@@ -59,9 +59,7 @@ def p5_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    contents = table(spark, sf_dir, "contents")
-    spoilt = residue.residue(contents).select(F.col("record_id").alias("id"))
-    hits = boilerplate.boilerplate_lines(contents, table(spark, sf_dir, "raw_contents"), table(spark, sf_dir, "sources"), cut_lineage(spoilt))
+    hits = boilerplate.boilerplate_lines(*(table(spark, sf_dir, name) for name in ("contents", "raw_contents", "sources")))
     return hits.select(F.col("id").alias("content_id"), "line_no")
 
 

@@ -12,6 +12,10 @@ language by language where there are enough of them.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,8 +23,12 @@ from pyspark.sql import functions as F
 
 from harrowmill.session import cut_lineage
 
-WORD = r"(\p{L}+(?:['’]\p{L}+)*)"
-SENTENCE = r"[.!?…。]+[”\"’»)\]]*(?:\s+|$)|\n+"
+_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+_SENTENCE = re.compile(r"[.!?…。]+[”\"’»)\]]*(?:\s+|$)|\n+")
+_LETTER = re.compile(r"[^\W\d_]")
+_HANGUL = re.compile("[가-힣]")
+#: Words a task counts before it hands them on.
+HELD_WORDS = 400_000
 #: Most judgements used for the fit, and least for a language to have weights of its own.
 MOST_LABELS, LEAST_LABELS = 5000, 30
 
@@ -31,46 +39,88 @@ def base_language(lang: Column) -> Column:
     return F.when(code != "", code)
 
 
-def document_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, words, sentences): lower-case words and number of sentences; documents without words are left out.
+def words_of(text: str) -> list[str]:
+    return _WORD.findall(text.lower())
 
-    Rows repeated under one doc_id are kept apart until the end, where one of them remains.
-    """
-    text = F.col("text")
-    base = docs.select("doc_id", base_language(F.col("lang")).alias("lang"), text).filter(F.col("doc_id").isNotNull() & text.isNotNull())
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(1))
-    sentences = F.size(F.filter(F.split(text, SENTENCE), lambda s: s.rlike(r"\p{L}")))
-    hangul = F.length(F.regexp_replace(text, r"[^가-힣]+", "")) * 3 > F.length(F.regexp_replace(text, r"\s+", ""))
-    lang = F.coalesce("lang", F.when(hangul, F.lit("ko")), F.lit("und"))
-    out = base.select("doc_id", lang.alias("lang"), words.alias("words"), F.greatest(sentences, F.lit(1)).alias("sentences"))
-    return out.filter(F.size("words") > 0)
+
+def sentences_of(text: str) -> int:
+    """Stretches between sentence ends and line breaks that hold a letter; at least one."""
+    return max(1, sum(_LETTER.search(x) is not None for x in _SENTENCE.split(text)))
+
+
+def language_of(lang: str | None, text: str) -> str:
+    """The stated language; without one Korean where a third of the signs are Hangul, else 'und'."""
+    if lang is not None:
+        return lang
+    signs = len("".join(text.split()))
+    return "ko" if len(_HANGUL.findall(text)) * 3 > signs else "und"
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", base_language(F.col("lang")).alias("lang"), "text").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
 
 
 def familiar_words(docs: DataFrame, share: float = 0.02) -> DataFrame:
-    """(lang, word, df): words in at least `share` of the documents of their language."""
-    each = docs.filter(F.col("lang") != "und").select("lang", F.explode(F.array_distinct("words")).alias("word"))
-    df = each.groupBy("lang", "word").agg(F.count("*").alias("df"))
-    size = docs.groupBy("lang").agg(F.count("*").alias("n"))
-    return df.join(F.broadcast(size), "lang").filter(F.col("df") >= F.col("n") * share).select("lang", "word", "df")
+    """(lang, word, df): words in at least `share` of the documents of their language that have any word.
+
+    Documents are counted within a task first; a row with the empty word counts the documents.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, Counter] = {}
+        columns = ["lang", "word", "n"]
+
+        def counted() -> pd.DataFrame:
+            rows = [(lang, w, n) for lang, c in held.items() for w, n in c.items()]
+            held.clear()
+            return pd.DataFrame(rows, columns=columns)
+
+        for batch in batches:
+            for lang, text in zip(batch["lang"], batch["text"]):
+                lang = language_of(lang, text)
+                if lang != "und" and (w := words_of(text)):
+                    c = held.setdefault(lang, Counter())
+                    c.update(set(w))
+                    c[""] += 1
+            if sum(map(len, held.values())) >= HELD_WORDS:
+                yield counted()
+        yield counted()
+
+    df = _texts(docs).mapInPandas(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("df"))
+    df = cut_lineage(df)
+    size = df.filter(F.col("word") == "").select("lang", F.col("df").alias("n"))
+    return df.filter(F.col("word") != "").join(F.broadcast(size), "lang").filter(F.col("df") >= F.col("n") * share).select("lang", "word", "df")
 
 
 def reading_figures(docs: DataFrame, share: float = 0.02) -> DataFrame:
-    """(doc_id, lang, n_words, unfamiliar, sentence_words, score) per document.
+    """(doc_id, lang, n_words, unfamiliar, sentence_words, score) per document with at least one word.
 
     Documents of unknown language are measured by the list that knows most of their words ('und' if none knows any).
+    Of rows repeated under one doc_id the least remains.  The lists go to all tasks, see above for their size; words
+    are looked up where the text is read and never shuffled.
     """
-    parsed = document_words(docs).withColumn("row", F.xxhash64(F.array_join("words", " "), "sentences"))
-    known = cut_lineage(familiar_words(parsed, share))
-    lists = F.broadcast(known.select("lang", "word", F.lit(1).alias("hit")))
-    tokens = parsed.select("doc_id", "row", "lang", "sentences", F.explode("words").alias("word"))
-    named = tokens.filter(F.col("lang") != "und").join(lists, ["lang", "word"], "left")
-    named = named.groupBy("doc_id", "row", "lang").agg(F.count("*").alias("n"), F.count("hit").alias("known"), F.max("sentences").alias("sentences"))
-    loose = tokens.filter(F.col("lang") == "und").drop("lang").join(F.broadcast(known.select("lang", "word")), "word", "left")
-    per_list = loose.groupBy("doc_id", "row", "lang").agg(F.count("*").alias("known"), F.max("sentences").alias("sentences"))
-    total = tokens.filter(F.col("lang") == "und").groupBy("doc_id", "row").agg(F.count("*").alias("n"))
-    best = per_list.groupBy("doc_id", "row").agg(F.max(F.struct(F.when(F.col("lang").isNull(), 0).otherwise(F.col("known")).alias("known"), "lang", "sentences")).alias("b"))
-    best = best.join(total, ["doc_id", "row"]).select("doc_id", "row", F.coalesce("b.lang", F.lit("und")).alias("lang"), "n", F.col("b.known").alias("known"), F.col("b.sentences").alias("sentences"))
-    out = named.unionByName(best)
+    lists: dict[str, set[str]] = {}
+    for r in familiar_words(docs, share).toLocalIterator():
+        lists.setdefault(r["lang"], set()).add(r["word"])
+    names = sorted(lists)
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for doc, lang, text in zip(batch["doc_id"], batch["lang"], batch["text"]):
+                w = words_of(text)
+                if not w:
+                    continue
+                lang = language_of(lang, text)
+                if lang == "und":
+                    known, lang = max([(sum(map(lists[x].__contains__, w)), x) for x in names], default=(0, "und"))
+                    lang = lang if known else "und"
+                else:
+                    known = sum(map(lists.get(lang, frozenset()).__contains__, w))
+                out.append((doc, lang, len(w), known, sentences_of(text)))
+            yield pd.DataFrame(out, columns=["doc_id", "lang", "n", "known", "sentences"])
+
+    out = _texts(docs).mapInPandas(measure, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, n bigint, known bigint, sentences bigint")
     unfamiliar = 1 - F.col("known") / F.col("n")
     length = F.col("n") / F.col("sentences")
     score = 0.1579 * 100 * unfamiliar + 0.0496 * length + F.when(unfamiliar > 0.05, 3.6365).otherwise(0.0)

@@ -1,10 +1,13 @@
 """Variant spellings of names typed by people (problem 2).
 
 A name is split into a distinctive word (surname, or the proper part of an organisation) and the
-rest (given name, or the kind of organisation).  Misspelt distinctive words are linked by a
-pigeonhole segment join: a word is cut into k+1 segments, and position-shifted substrings of other
+rest (given name, or the kind of organisation); an organisation without a word for its kind is taken as the set of
+its words.  Misspelt words are linked by a pigeonhole segment join, surnames and proper parts first, then given names
+of one surname and the single words of whole names, so that each word of a name may have one edit: a word is cut into
+k+1 segments, and position-shifted substrings of other
 words are looked up in an inverted index of the segments that an edit has to leave alone; pairs are
-verified with a banded edit distance.  Short forms (initials, nicknames, acronyms, dropped words)
+verified with a banded edit distance, and each spelling follows its better attested ones to the end of the chain.
+Short forms (initials, nicknames, acronyms, dropped words)
 are then resolved to the one full form of the same distinctive word that they fit.
 
 Everything works on distinct strings, so a name that a third of all rows repeat costs one row.
@@ -193,6 +196,14 @@ def parse_person(name: str) -> tuple[str, str, str, str, str, str] | None:
     return surname, form, value, value[0], (middle[0][0] if middle else ""), nick
 
 
+def whole_name(name: str) -> str:
+    """The words of a name without legal forms and words of grammar, in alphabetical order; all its words if nothing is left."""
+    split = re.sub(r"(?<=[a-zà-ÿ])(?=[A-ZÀ-Þ][a-zà-ÿ]{2,})", " ", name)
+    tokens = [fold(t).replace(".", "").replace("'", "").replace("’", "") for t in re.findall(r"(?:[^\W_]\.)+|[^\W_]+(?:['’][^\W_]+)*", split)]
+    kept = [t for t in tokens if t not in STOP and _SHORT.get(t) not in LEGAL]
+    return " ".join(sorted(kept or tokens))
+
+
 def looks_personal(name: str) -> bool:
     """For strings of unknown type: a title, leading or trailing initials or a known given name, and no whole word for a kind."""
     tokens = [fold(t) for t in re.findall(r"(?:[^\W\d_]\.)+|[^\W\d_]+(?:['’-][^\W\d_]+)*\.?", name)]
@@ -205,33 +216,52 @@ def looks_personal(name: str) -> bool:
     return any(is_given(t) for t in tokens) or given_forms(tokens[0])[0] == "prefix"
 
 
-PARSED = "name string, kind string, head string, form string, sig string, initial string, middle string, nick string, n bigint"
+PARSED = "name string, kind string, head string, form string, sig string, initial string, middle string, nick string, n bigint, whole string"
 
 
 def parsed_names(names: DataFrame) -> DataFrame:
-    """names(name, type, n) -> PARSED; strings that are neither a person nor an organisation have no row."""
+    """names(name, type, n) -> PARSED.
+
+    Every string stated as a person or organisation that holds a letter or digit has a row; of the others those that
+    read like one.  whole: the set of words of strings of unknown type, by which they may meet a stated organisation.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for name, kind, n in zip(b["name"], b["type"], b["n"]):
-                if kind is None and name.startswith("the ") and name.islower():
+                stated = kind is not None
+                if not stated and name.startswith("the ") and name.islower():
                     continue  # a common noun phrase
-                if kind is None and looks_personal(name):
+                if not stated and looks_personal(name):
                     kind = "person"
+                whole = None if stated else whole_name(name)
                 if kind != "person":
                     o = parse_organisation(name)
                     if o:
-                        out.append((name, "O", *o, "", "", n))
+                        out.append((name, "O", *o, "", "", n, None))
                         continue
-                if kind != "org":
-                    p = parse_person(name)
-                    if p:
-                        surname, form, given, initial, middle, nick = p
-                        out.append((name, "P", surname, form, given, initial, middle, nick, n))
+                if kind == "org":
+                    if head := whole_name(name):
+                        out.append((name, "O", head, "full", "", "", "", "", n, None))
+                    continue
+                p = parse_person(name)
+                if p:
+                    surname, form, given, initial, middle, nick = p
+                    out.append((name, "P", surname, form, given, initial, middle, nick, n, whole))
+                elif stated and (head := whole_name(name)):
+                    out.append((name, "P", head, "full", "", "", "", "", n, None))
+                elif whole:
+                    out.append((name, "?", whole, "full", "", "", "", "", n, whole))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in PARSED.split(", ")])
 
-    return names.mapInPandas(run, PARSED)
+    found = names.mapInPandas(run, PARSED)
+    # A string of unknown type with the words of a stated organisation is that organisation.
+    stated = found.filter((F.col("kind") == "O") & (F.col("sig") == "")).select(F.col("head").alias("whole"), F.lit(True).alias("org")).distinct()
+    met = found.join(stated, "whole", "left").filter((F.col("kind") != "?") | F.col("org"))
+    org = F.coalesce("org", F.lit(False))
+    now = {"kind": F.lit("O"), "head": F.col("whole"), "form": F.lit("full"), **{c: F.lit("") for c in ("sig", "initial", "middle", "nick")}}
+    return met.select(*[F.when(org, now[c]).otherwise(F.col(c)).alias(c) if c in now else F.col(c) for c in (x.split()[0] for x in PARSED.split(", ")[:-1])])
 
 
 def collected_names(entities: DataFrame, claims: DataFrame) -> DataFrame:
@@ -321,35 +351,85 @@ def near_words(words: DataFrame) -> DataFrame:
     return pairs.mapInPandas(verify, "block string, word string, other string")
 
 
-def canonical_heads(parsed: DataFrame) -> DataFrame:
-    """(kind, initial, head, canon): misspelt distinctive words with the word they stand for.
+def canonical_words(words: DataFrame, apart: DataFrame | None = None) -> DataFrame:
+    """words(block, word, strings, mentions) -> (block, word, canon): misspelt words with the word they stand for.
 
-    Within names of one kind and initial, a word goes to its near word that more different strings use (more mentions,
-    then the alphabet, decide ties); a chain of two is followed.
+    Within a block, a word goes to its near word that more different strings use (more mentions, then the alphabet,
+    decide ties), from there to the next, and so on: pointers always lead to a greater word, so doubling them reaches
+    the end of every chain.  apart(word): words that are known to be right and stay themselves.
     """
-    heads = parsed.groupBy("kind", "initial", "head").agg(F.count("*").alias("strings"), F.sum("n").alias("mentions"))
-    heads = cut_lineage(heads.withColumn("block", F.concat_ws("|", "kind", "initial")))
-    near = near_words(heads.select("block", F.col("head").alias("word")))
-    weight = F.struct("strings", "mentions", "head")
-    w = heads.select("block", F.col("head").alias("word"), weight.alias("w"))
+    words = cut_lineage(words)
+    near = near_words(words.select("block", "word"))
+    w = words.select("block", "word", F.struct("strings", "mentions", "word").alias("w"))
     other = w.select("block", F.col("word").alias("other"), F.col("w").alias("ow"))
     best = near.join(w, ["block", "word"]).join(other, ["block", "other"]).filter(F.col("ow") > F.col("w"))
     # A spelling that many strings use is a word of its own.
     best = best.filter((F.col("w.strings") <= 2) | (F.col("w.strings") * 3 <= F.col("ow.strings")))
-    best = cut_lineage(best.groupBy("block", "word").agg(F.max("ow").alias("ow")).select("block", "word", F.col("ow.head").alias("other")))
-    step = best.select("block", F.col("word").alias("other"), F.col("other").alias("far"))
-    out = best.join(step, ["block", "other"], "left").select("block", F.col("word").alias("head"), F.coalesce("far", "other").alias("canon"))
-    return heads.select("block", "kind", "initial", "head").join(out, ["block", "head"]).select("kind", "initial", "head", "canon")
+    if apart is not None:
+        best = best.join(apart, "word", "left_anti")
+    best = cut_lineage(best.groupBy("block", "word").agg(F.max("ow").alias("ow")).select("block", "word", F.col("ow.word").alias("canon")))
+    while True:
+        step = best.select("block", F.col("word").alias("canon"), F.col("canon").alias("far"))
+        further = best.join(step, ["block", "canon"], "left")
+        if further.filter(F.col("far").isNotNull()).isEmpty():
+            return best
+        best = cut_lineage(further.select("block", "word", F.coalesce("far", "canon").alias("canon")))
+
+
+def canonical_heads(parsed: DataFrame) -> DataFrame:
+    """(kind, initial, head, canon): misspelt distinctive words with the word they stand for, within names of one kind and initial."""
+    heads = parsed.filter(F.col("sig") != "").groupBy("kind", "initial", "head").agg(F.count("*").alias("strings"), F.sum("n").alias("mentions"))
+    words = heads.select(F.concat_ws("|", "kind", "initial").alias("block"), F.col("head").alias("word"), "strings", "mentions")
+    found = canonical_words(words)
+    part = F.split("block", "\\|")
+    return found.select(part[0].alias("kind"), part[1].alias("initial"), F.col("word").alias("head"), "canon")
+
+
+def canonical_wholes(parsed: DataFrame) -> DataFrame:
+    """(kind, head, canon): whole names of which single words are misspelt, each word put right by itself."""
+    wholes = parsed.filter(F.col("sig") == "").groupBy("kind", "head").agg(F.count("*").alias("strings"), F.sum("n").alias("mentions"))
+    tokens = wholes.select("kind", "head", "strings", "mentions", F.posexplode(F.split("head", " ")).alias("at", "word"))
+    words = tokens.groupBy(F.col("kind").alias("block"), "word").agg(F.sum("strings").alias("strings"), F.sum("mentions").alias("mentions"))
+    found = canonical_words(words).select(F.col("block").alias("kind"), "word", "canon")
+    right = tokens.join(found, ["kind", "word"], "left").groupBy("kind", "head").agg(F.sort_array(F.collect_list(F.coalesce("canon", "word"))).alias("w"))
+    return right.select("kind", "head", F.array_join("w", " ").alias("canon")).filter(F.col("canon") != F.col("head"))
+
+
+def canonical_givens(people: DataFrame, known: DataFrame) -> DataFrame:
+    """people(head, sig, n) -> (head, sig, given): misspelt given names, and unknown names written surname first.
+
+    known(word): listed given names and nicknames, which are right as they are.
+    """
+    pairs = people.groupBy("head", "sig").agg(F.count("*").alias("strings"), F.sum("n").alias("mentions"))
+    words = pairs.select(F.col("head").alias("block"), F.col("sig").alias("word"), "strings", "mentions")
+    return canonical_words(words, known).select(F.col("block").alias("head"), F.col("word").alias("sig"), F.col("canon").alias("given"))
+
+
+def turned_names(people: DataFrame, known: DataFrame) -> DataFrame:
+    """people(head, sig, n) -> (head, sig): pairs of words also found the other way round and better attested so.
+
+    Only where neither word is a listed given name; those have told their place already.
+    """
+    pairs = people.groupBy("head", "sig").agg(F.count("*").alias("strings"), F.sum("n").alias("mentions"))
+    other = pairs.select(F.col("sig").alias("head"), F.col("head").alias("sig"), F.struct("strings", "mentions", F.col("head")).alias("there"))
+    both = pairs.join(other, ["head", "sig"]).filter(F.col("there") > F.struct("strings", "mentions", F.col("sig")))
+    for c in ("head", "sig"):
+        both = both.join(known.select(F.col("word").alias(c)), c, "left_anti")
+    return both.select("head", "sig")
 
 
 def short_keys(kind: str, form: str, sig: str, nick: str) -> list[str]:
     """Short forms that a full name can be given by."""
     if kind == "P":
-        out = {f"i:{sig[0]}", f"x:{sig[:2]}", f"x:{sig[:3]}", f"x:{sig[:4]}", *(f"n:{x}" for x in NICKNAMES.get(sig, "").split())}
+        if not sig:
+            return []
+        out = {f"i:{sig[0]}", *(f"x:{sig[:k]}" for k in range(2, max(5, len(sig)))), *(f"n:{x}" for x in NICKNAMES.get(sig, "").split())}
         if nick:
             out.add(f"n:{nick}")
         return sorted(out)
     w = sig.split()
+    if not w:
+        return []
     return sorted({f"a:{''.join(x[0] for x in w)}", f"p:{w[0]}", f"p:{' '.join(w[:2])}"})
 
 
@@ -361,15 +441,29 @@ def entity_names(entities: DataFrame, claims: DataFrame) -> DataFrame:
     initial, else to the most mentioned one (ties by the alphabet); one that fits none is an entity of its own.
     """
     parsed = cut_lineage(parsed_names(collected_names(entities, claims)))
+    listed = parsed.sparkSession.createDataFrame([(w,) for w in sorted({*NICKNAMES, *_NICK})], "word string")
     fixed = canonical_heads(parsed)
-    rows = parsed.join(fixed, ["kind", "initial", "head"], "left")
+    rows = parsed.join(fixed, ["kind", "initial", "head"], "left").join(canonical_wholes(parsed).withColumnRenamed("canon", "put_right"), ["kind", "head"], "left")
     # Nicknames of several names stand under either initial: their words are corrected through any initial.
     anyway = fixed.groupBy("kind", "head").agg(F.min("canon").alias("any"))
     rows = rows.join(anyway, ["kind", "head"], "left")
     full_heads = parsed.filter(F.col("form") == "full").select("kind", "head").distinct().withColumn("known", F.lit(True))
     rows = rows.join(full_heads, ["kind", "head"], "left")
-    head = F.coalesce("canon", F.when((F.col("form") == "nick") & F.col("known").isNull(), F.col("any")), "head")
+    head = F.when(F.col("sig") == "", F.coalesce("put_right", "head")).otherwise(
+        F.coalesce("canon", F.when((F.col("form") == "nick") & F.col("known").isNull(), F.col("any")), "head")
+    )
     rows = cut_lineage(rows.select("name", "kind", head.alias("head"), "form", "sig", "initial", "middle", "nick", "n"))
+    # People: given names that no list knows.
+    person = (F.col("kind") == "P") & (F.col("form") == "full") & (F.col("sig") != "")
+    turned = cut_lineage(turned_names(rows.filter(person), listed)).withColumn("turn", F.lit(True))
+    rows = rows.join(turned, ["head", "sig"], "left")
+    turn = person & F.col("turn").isNotNull()
+    rows = rows.select("name", "kind", F.when(turn, F.col("sig")).otherwise(F.col("head")).alias("head"), "form", F.when(turn, F.col("head")).otherwise(F.col("sig")).alias("sig"), "initial", "middle", "nick", "n")
+    given = canonical_givens(rows.filter(person), listed)
+    rows = rows.join(given, ["head", "sig"], "left")
+    sig = F.when(person, F.coalesce("given", "sig")).otherwise(F.col("sig"))
+    initial = F.when(person, F.substring(sig, 1, 1)).otherwise(F.col("initial"))
+    rows = cut_lineage(rows.select("name", "kind", "head", "form", sig.alias("sig"), initial.alias("initial"), "middle", "nick", "n"))
 
     full = rows.filter(F.col("form") == "full")
     keys = full.groupBy("kind", "head", "sig").agg(F.sum("n").alias("mentions"), F.collect_set(F.when(F.col("middle") != "", F.col("middle"))).alias("middles"), F.collect_set(F.when(F.col("nick") != "", F.col("nick"))).alias("nicks"))

@@ -2,11 +2,12 @@
 
 The channel: text was written as bytes of one encoding and read in another, once or more often.
 Each pair of encodings gives characters that stand for lead and following bytes; stretches of such
-characters are turned back into bytes and read rightly if that gives letters or signs in use.
+characters are turned back into bytes and read rightly if that gives letters or signs in use.  Where no byte is
+lost the byte lattice of a stretch is one path and needs no search.
 
-Bytes that the wrong reading could not show are lost (U+FFFD).  The words of the whole corpus are sent
-through the same channel; those that come out as a damaged word are joined to it by that shape, which
-stands for the byte lattice (known bytes, wildcards for lost ones) that `lattice` and `fits` spell out.
+Bytes that the wrong reading could not show are lost (U+FFFD), wildcards of the lattice.  The words of the whole
+corpus are sent through every channel that loses bytes; the lattice they leave, written as text, is the key by which
+they meet the damaged words that may have been them.
 A Viterbi search takes the path of greatest frequency of words and word pairs through the stretch.
 """
 
@@ -27,7 +28,6 @@ LOST = "�"
 SINGLE = ("cp1252", "latin-1", "mac_roman", "cp1251", "cp1250", "cp437", "cp850", "koi8_r")
 #: Multi-byte encodings in which UTF-8 is commonly misread.
 DOUBLE = ("cp949", "gbk", "cp932", "big5")
-MOST_ROUNDS = 4
 #: How many mentions of a word alone one mention beside the same neighbour is worth.
 PAIR_WEIGHT = 50.0
 
@@ -203,12 +203,12 @@ def misread_double(text: str) -> bool:
 def repair(text: str) -> tuple[str, int]:
     """Text with every readable layer put right, and how many layers there were."""
     layers = 0
-    while layers < MOST_ROUNDS:
-        text, hits = repair_once(text)
-        if not hits:
-            break
+    while True:
+        fixed, hits = repair_once(text)
+        if not hits or fixed == text:
+            return text, layers
+        text = fixed
         layers += 1
-    return text, layers
 
 
 def is_damaged(text: str | None) -> bool:
@@ -249,39 +249,38 @@ def damaged_fields(fields: DataFrame) -> DataFrame:
 # --- lost bytes -------------------------------------------------------------------------------------------------
 
 
-def through_channels(word: str) -> list[tuple[str, str]]:
-    """(shape, channel) of a right word after each channel that loses bytes."""
-    out = []
-    for written in ("cp1252",):
-        try:
-            seen = word.encode(written).decode("utf-8", "replace")
-            if LOST in seen:
-                out.append((seen, f"{written}>utf-8"))
-        except UnicodeEncodeError:
-            pass
-    seen = word.encode("utf-8").decode("cp949", "replace")
-    if seen != word:
-        out.append((seen, "utf-8>cp949"))
-    return out
+def lattice(word: str, written: str, read: str) -> list[str | None]:
+    """What the bytes of a right word show when they are read in another encoding; None stands for bytes that show nothing.
 
+    UnicodeEncodeError where the word cannot be written so.
+    """
+    return [None if c == LOST else c for c in word.encode(written).decode(read, "replace")]
 
-def lattice(cell: str) -> list[bytes | None]:
-    """Bytes of a damaged word as far as they are known; None stands for a lost byte."""
-    out: list[bytes | None] = []
-    for c in cell:
-        if c == LOST:
-            out.append(None)
-            continue
-        try:
-            out += [bytes([x]) for x in (c.encode("cp949") if ord(c) > 0x7F else c.encode())]
-        except UnicodeEncodeError:
-            out += [bytes([x]) for x in c.encode("utf-8")]
-    return out
+
+def lattice_key(cells: list[str | None], read: str) -> str:
+    """A lattice as text: wildcards as U+FFFD, and what a single-byte reading left readable put right, as repair does."""
+    seen = "".join(LOST if c is None else c for c in cells)
+    family = _BY_CODEC.get(read)
+    return family.any.sub(lambda m: family.decode(m.group(0)) or m.group(0), seen) if family else seen
+
+
+_BY_CODEC = {f.codec: f for f in _FAMILIES}
+#: Channels that lose bytes: single-byte text read as UTF-8, and UTF-8 read in encodings that leave bytes open.
+LOSSY = (*((c, "utf-8") for c in SINGLE), *(("utf-8", c) for c in ("cp949", "cp1251", "cp1252", "cp1250")))
 
 
-def fits(cell: list[bytes | None], word: bytes) -> bool:
-    """A word fits a cell if all known bytes agree and each wildcard takes one byte."""
-    return len(cell) == len(word) and all(k is None or k[0] == w for k, w in zip(cell, word))
+def through_channels(word: str) -> list[tuple[str, str]]:
+    """(lattice key, channel) of a right word after each channel that loses bytes of it; equal keys are given once."""
+    out: dict[str, str] = {}
+    for written, read in LOSSY:
+        try:
+            cells = lattice(word, written, read)
+        except UnicodeEncodeError:
+            continue
+        key = lattice_key(cells, read)
+        if (None in cells or read == "cp949") and key != word:
+            out.setdefault(key, f"{written}>{read}")
+    return list(out.items())
 
 
 def viterbi(cells: list[list[tuple[str, float]]], pairs: dict[tuple[str, str], float] | None = None) -> list[str | None]:
@@ -396,8 +395,10 @@ def restore_lost(damaged: DataFrame, fields: DataFrame, *, candidates: int = 8)
     pairs = pairs.join(unsure.select("word").distinct(), "word", "left_semi").groupBy("word", "other", "after").agg(F.count("*").alias("m"))
     met = unsure.join(near, "shape").join(pairs, ["word", "other", "after"])
     met = met.groupBy("shape", "word").agg(F.collect_list(F.struct("other", "after", "m")).alias("beside"))
-    ranked = options.join(met, ["shape", "word"], "left").withColumn("rank", F.row_number().over(Window.partitionBy("shape").orderBy(F.desc("n"), F.desc("word"))))
-    ranked = ranked.filter((F.col("rank") <= candidates) | F.col("beside").isNotNull())
+    # The most frequent words of a shape are cut within each task before they meet; then those seen beside its neighbours.
+    first = options.withColumn("rank", F.row_number().over(Window.partitionBy("shape").orderBy(F.desc("n"), F.desc("word")))).filter(F.col("rank") <= candidates).drop("rank")
+    first = first.join(met, ["shape", "word"], "left")
+    ranked = first.unionByName(met.join(options, ["shape", "word"]).join(first.select("shape", "word"), ["shape", "word"], "left_anti"))
     ranked = ranked.groupBy("shape").agg(F.sort_array(F.collect_list(F.struct("n", "word", "beside")), asc=False).alias("words"))
     # Candidates are brought to the fields that need them: one row per field and shape, gathered per field.
     pieces = F.when(F.col("field") == "html", F.split("text", HTML_CUT)).otherwise(F.split("text", CUT))

@@ -52,6 +52,12 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select(F.col("doc_id").alias("content_id"), "line_no")
 
 
+def p5_excess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the repeated lines those significantly more frequent in their source than outside it."""
+    hits = sitelines.repeated_occurrences(table(spark, sf_dir, "contents")).filter(F.col("verdict") == "excess")
+    return hits.select(F.col("doc_id").alias("content_id"), "line_no")
+
+
 def p5_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each body without the repeated lines, as a hash and its length in characters."""
     out = sitelines.without_repeated_lines(table(spark, sf_dir, "contents"))
@@ -102,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p4_restored": p4_restored,
     "p5_found": p5_found,
+    "p5_excess": p5_excess,
     "p5_cleaned": p5_cleaned,
     "p6_found": p6_found,
     "p6_main_text": p6_main_text,
@@ -120,7 +127,23 @@ _P5 = r"""
   hot as (select source_id, key from keyed where key <> '' group by all having count(distinct id) >= 5)
 """
 
+_TERM = "({k} * ln(greatest(least({p}, 1 - 1e-12), 1e-12)) + ({n} - {k}) * ln(1 - greatest(least({p}, 1 - 1e-12), 1e-12)))"
+_P5_EXCESS = f"""
+  each as (select distinct id, source_id, key from keyed where key <> '' and source_id is not null),
+  counted as (select source_id, key, count(*)::double as a from each group by all),
+  sizes as (select source_id, count(*)::double as n1 from contents where body is not null and source_id is not null group by all),
+  figures as (select source_id, key, a, sum(a) over (partition by key) - a as b, greatest(n1, a) as n1,
+                greatest(greatest((select sum(n1) from sizes) - n1, 1), sum(a) over (partition by key) - a) as n2 from counted join sizes using (source_id)),
+  rated as (select *, case when a / n1 > b / n2 then greatest(0.0, 2 * ({_TERM.format(k="a", n="n1", p="(a / n1)")} + {_TERM.format(k="b", n="n2", p="(b / n2)")}
+                - {_TERM.format(k="a", n="n1", p="((a + b) / (n1 + n2))")} - {_TERM.format(k="b", n="n2", p="((a + b) / (n1 + n2))")})) else 0.0 end as llr from figures where a >= 2),
+  tailed as (select *, sqrt(llr / 2) as x, 1 / (1 + 0.3275911 * sqrt(llr / 2)) as t from rated),
+  p as (select *, least(1.0, t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * exp(-x * x)) as p_value from tailed),
+  bins as (select floor(least(llr, 2000.0) * 100) as bin, count(*) as n, max(p_value) as p from p group by 1),
+  ranked as (select bin, p, sum(n) over (order by bin desc) as rank, sum(n) over () as m from bins),
+  bar as (select min(bin) / 100 as least from ranked where p <= 0.05 * rank / m)"""
+
 SQL: dict[str, str] = {
+    "p5_excess": f"with {_P5}, {_P5_EXCESS} select id as content_id, line_no::int as line_no from keyed join hot using (source_id, key) join p using (source_id, key) where llr >= (select least from bar)",
     "p5_found": f"with {_P5} select id as content_id, line_no::int as line_no from keyed join hot using (source_id, key)",
     "p5_cleaned": f"with {_P5}, kept as (select k.id, string_agg(line, chr(10) order by line_no) as body from keyed k "
     "left join hot h on h.source_id = k.source_id and h.key = k.key where h.key is null group by k.id) "

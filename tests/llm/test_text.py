@@ -115,7 +115,22 @@ def test_neighbours_choose_between_words_of_one_shape(spark):
 
 def test_viterbi_and_lattice():
     assert E.viterbi([[("a", 1.0), ("b", 0.9)], [("c", 1.0)], [], [("d", 0.0)]], {("b", "c"): 1.0}) == ["b", "c", None, "d"]
-    assert E.fits(E.lattice("caf�"), b"caf\xe9") and not E.fits(E.lattice("caf�"), b"cafes")
+    assert E.lattice("café", "cp1252", "utf-8") == ["c", "a", "f", None] and ("caf\ufffd", "cp1252>utf-8") in E.through_channels("café")
+    assert E.through_channels("cafe") == []
+
+
+def test_lost_bytes_of_other_channels(spark):
+    """Cyrillic in UTF-8 read as cp1251, Polish in cp1250 read as UTF-8; layers without end."""
+    right = ["Иван и Мария из России", "Иван и Мария из России", "Łódź jest dużym miastem"]
+    bad = [right[0].encode().decode("cp1251", "replace"), right[2].encode("cp1250").decode("utf-8", "replace")]
+    rows = [("contents", f"g{k}", "body", t) for k, t in enumerate(right)] + [("contents", f"b{k}", "body", t) for k, t in enumerate(bad)]
+    f = spark.createDataFrame(rows, "record_table string, record_id string, field string, value string")
+    got = {r.record_id: r.text for r in E.restore_lost(E.damaged_fields(f), f).collect()}
+    assert got == {"b0": right[0], "b1": right[2]}
+    deep = "naïve café"
+    for _ in range(6):
+        deep = deep.encode().decode("cp1252", "replace") if "\ufffd" not in deep.encode().decode("cp1252", "replace") else deep.encode().decode("latin-1")
+    assert E.repair(deep)[0] == "naïve café"
 
 
 # --- leakage -----------------------------------------------------------------------------------------------------

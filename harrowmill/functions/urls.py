@@ -63,26 +63,30 @@ def host_with_port(url: Column) -> Column:
     return F.lower(url_authority(url))
 
 
+def _form_encoded(text: Column) -> Column:
+    """Form encoding in which only letters, digits and -._~ stay as they are."""
+    return F.regexp_replace(F.regexp_replace(F.url_encode(text), "%7E", "~"), r"\*", "%2A")
+
+
 def _allowed_query(host: Column, query: Column, allowed: Mapping[str, Sequence[str]]) -> Column:
-    """Keep allow-listed parameters per host (www-insensitive), sorted by key."""
+    """Keep allow-listed parameters per host (www-insensitive), decoded and encoded again, sorted by key.
+
+    A parameter is cut at its first "="; equal keys keep their order.  A query that cannot be decoded stays as it is.
+    """
     bare = F.regexp_replace(host, r"^www\.", "")
+    cut = lambda kv: F.instr(kv, "=")
+    key = lambda kv: F.when(cut(kv) > 0, F.substr(kv, F.lit(1), cut(kv) - 1)).otherwise(kv)
+    value = lambda kv: F.when(cut(kv) > 0, F.substr(kv, cut(kv) + 1)).otherwise(F.lit(""))
+    pair = F.transform(
+        F.filter(F.split(query, "&"), lambda kv: kv != ""),
+        lambda kv, i: F.struct(F.try_url_decode(key(kv)).alias("k"), i.alias("i"), F.try_url_decode(value(kv)).alias("v")),
+    )
+    broken = F.exists(pair, lambda p: p["k"].isNull() | p["v"].isNull()) | query.contains(";")
     out = F.lit("")
     for name, params in allowed.items():
-        keys = [p.lower() for p in params]
-        kept = F.filter(
-            F.split(query, "&"),
-            lambda kv: (kv != "") & F.lower(F.element_at(F.split(kv, "="), 1)).isin(keys),
-        )
-        pair = F.transform(
-            kept,
-            lambda kv: F.struct(
-                F.element_at(F.split(kv, "="), 1).alias("k"),
-                F.when(F.instr(kv, "=") > 0, F.substring_index(kv, "=", -1)).otherwise(F.lit("")).alias("v"),
-            ),
-        )
-        text = F.array_join(F.transform(F.array_sort(pair), lambda p: F.concat(p["k"], F.lit("="), p["v"])), "&")
-        key = name.lower().removeprefix("www.")
-        out = F.when(bare == key, text).otherwise(out)
+        kept = F.array_sort(F.filter(pair, lambda p: F.lower(p["k"]).isin([x.lower() for x in params])))
+        text = F.array_join(F.transform(kept, lambda p: F.concat(_form_encoded(p["k"]), F.lit("="), _form_encoded(p["v"]))), "&")
+        out = F.when(bare == name.lower().removeprefix("www."), F.when(broken, query).otherwise(text)).otherwise(out)
     return out
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ VERDICTS = ["supported", "contradicted", "unverified"]
 SCORE = "trust_score double, rationale string"
 VERIFY = "verifications array<struct<claim_idx:int,verdict:string,note:string>>"
 EXTRACT = "entities array<struct<type:string,name:string>>, claims array<struct<text:string>>, topics array<string>, sentiment string"
+_SIGNS = re.compile(r'\\.|["{}]', re.S)
 _BLANK = r"(?U)^\s+|\s+$"
 
 
@@ -82,3 +86,70 @@ def cascade(base: DataFrame, stages: list[tuple[str, DataFrame]], key: str = "co
     for name, stage in stages:
         out = out.join(stage.select(F.col(key), F.col("value").alias(name)), key, "left")
     return out
+
+
+def _first_object(t: str | None) -> str | None:
+    at = t.find("{") if t else -1
+    if at < 0:
+        return None
+    depth, quoted = 0, False
+    for m in _SIGNS.finditer(t, at):
+        sign = m.group()
+        if sign == '"':
+            quoted = not quoted
+        elif sign[0] != "\\" and not quoted:
+            depth += 1 if sign == "{" else -1
+            if not depth:
+                return t[at : m.end()]
+    return None
+
+
+def first_object(text: Column) -> Column:
+    """The first balanced JSON object of a text; braces inside quoted strings do not count.  null where there is none."""
+    return F.pandas_udf(lambda t: t.map(_first_object), "string")(text)
+
+
+ENRICHED = "validity string, blacklist_reason string, blacklist_mode string, page_type string, article boolean, selectors map<string,struct<css:string,attribute:string,multi:boolean>>"
+PAGE_TYPES = ("article", "list", "category", "index", "other")
+
+
+def parse_enriched(text: Column) -> Column:
+    """struct(kind, page_type, article, selectors, reason, mode, error) of a page-analysis answer.
+
+    kind: blacklist, ok or legacy (selectors without a verdict).  Unknown page types are other, unknown modes drop.
+    """
+    body = first_object(text)
+    j, bare = F.from_json(body, ENRICHED), F.from_json(body, "map<string,struct<css:string,attribute:string,multi:boolean>>")
+    v = F.coalesce(j["validity"], F.lit(""))
+    kind = F.when(body.isNull(), F.lit(None).cast("string")).when(v.isin("blacklist", "ok"), v).when(v == "", "legacy")
+    error = F.when(body.isNull(), "no JSON object").when(kind.isNull(), "unknown validity")
+    page = F.lower(F.trim(j["page_type"]))
+    mode = F.lower(F.trim(F.coalesce(j["blacklist_mode"], F.lit(""))))
+    black = kind == "blacklist"
+    return F.struct(
+        kind.alias("kind"), F.when(kind == "ok", F.when(page.isin(*PAGE_TYPES), page).otherwise("other")).alias("page_type"), F.when(kind == "ok", j["article"]).alias("article"),
+        F.when(kind == "ok", j["selectors"]).when(kind == "legacy", bare).alias("selectors"),
+        F.when(black, F.coalesce(F.when(F.trim(j["blacklist_reason"]) != "", F.trim(j["blacklist_reason"])), F.lit("(no reason provided)"))).alias("reason"),
+        F.when(black, F.when(mode.isin("drop", "extract_links_only"), mode).otherwise("drop")).alias("mode"), error.alias("error"),
+    )
+
+
+#: Signs of a too long input, in lower case.
+TOO_LONG = ("context length", "maximum context", "too many tokens", "context window")
+
+
+def error_class(status: Column, message: Column) -> Column:
+    """auth, rate_limit, server, context_limit, bad_request or unknown, by HTTP status and, for 400, the message."""
+    low = F.lower(F.coalesce(message, F.lit("")))
+    long = F.lit(False)
+    for sign in TOO_LONG:
+        long = long | low.contains(sign)
+    return (
+        F.when(status.isin(401, 403), "auth").when(status == 429, "rate_limit").when(status.between(500, 599), "server")
+        .when((status == 400) & long, "context_limit").when(status.between(400, 499), "bad_request").otherwise("unknown")
+    )
+
+
+def may_delegate(kind: Column) -> Column:
+    """Another provider may succeed wherever the request itself is not at fault."""
+    return kind != "bad_request"

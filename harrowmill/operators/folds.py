@@ -42,17 +42,22 @@ def _with_keys(events: DataFrame, keys: list[str], rest: str) -> str:
     return ", ".join(f"{k} {types[k]}" for k in keys) + ", " + rest
 
 
-def ttl_accepts(events: DataFrame, keys: list[str], ttl: int) -> DataFrame:
-    """(keys, ts_us, accepted): an event is accepted unless one was accepted less than ttl before; rejects do not extend."""
+def ttl_accepts(events: DataFrame, keys: list[str], ttl: int | str) -> DataFrame:
+    """(keys, ts_us, id, accepted): an event is accepted unless one was accepted less than a TTL before; rejects do not extend.
+
+    ttl: microseconds, or the name of a column that gives them; the TTL of the accepted event holds.
+    """
+    own = isinstance(ttl, str)
 
     def step(state: dict, row: tuple) -> list:
         t = int(row[0])
-        ok = state["last"] is None or t >= state["last"] + ttl
+        ok = state["until"] is None or t >= state["until"]
         if ok:
-            state["last"] = t
-        return [(t, ok)]
+            state["until"] = t + (int(row[2]) if own else ttl)
+        return [(t, row[1], ok)]
 
-    return walk(events, keys, ["ts_us", "id"], _with_keys(events, keys, "ts_us bigint, accepted boolean"), lambda: {"last": None}, step)
+    fields = ["ts_us", "id", *([ttl] if own else [])]
+    return walk(events, keys, fields, _with_keys(events, keys, f"ts_us bigint, id {dict(events.dtypes)['id']}, accepted boolean"), lambda: {"until": None}, step)
 
 
 def token_bucket(events: DataFrame, keys: list[str], per_hour: float, burst: float) -> DataFrame:
@@ -94,6 +99,30 @@ def circuit_breaker(events: DataFrame, keys: list[str], failures: int, cooldown_
     return walk(events, keys, ["ts_us", "id", "ok"], schema, fresh, step, lambda s: [(s["admitted"], s["rejected"], s["opened"])])
 
 
+def host_breaker(events: DataFrame, keys: list[str], hits: int = 3, cooldown_us: int = 600_000_000) -> DataFrame:
+    """(keys, admitted, refused, blocked): `hits` rate-limit answers in a row shut a host for the cooldown.
+
+    events have limited(boolean).  A call at the end of the cooldown is admitted and starts afresh, any other answer
+    clears the count, and refused calls have no answer.
+    """
+
+    def step(state: dict, row: tuple) -> None:
+        t = int(row[0])
+        if state["until"] is not None:
+            if t < state["until"]:
+                state["refused"] += 1
+                return
+            state.update(until=None, run=0)
+        state["admitted"] += 1
+        state["run"] = state["run"] + 1 if row[2] else 0
+        if state["run"] >= hits:
+            state.update(until=t + cooldown_us, blocked=state["blocked"] + 1)
+
+    fresh = lambda: {"run": 0, "until": None, "admitted": 0, "refused": 0, "blocked": 0}
+    schema = _with_keys(events, keys, "admitted bigint, refused bigint, blocked bigint")
+    return walk(events, keys, ["ts_us", "id", "limited"], schema, fresh, step, lambda s: [(s["admitted"], s["refused"], s["blocked"])])
+
+
 def smoothed(events: DataFrame, keys: list[str], value: str, alpha: float = 0.2) -> DataFrame:
     """(keys, ema, n): exponential moving average in event order, the first sample is the seed."""
 

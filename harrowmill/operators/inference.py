@@ -15,6 +15,7 @@ UUID = r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
 #: Segment kinds from the narrowest to the widest, as (test, pattern).
 KINDS = [(rf"^{UUID}$", rf"({UUID})"), (r"^(19|20)[0-9]{2}$", r"((19|20)\d{2})"), (r"^(0[1-9]|1[0-2])$", r"(0[1-9]|1[0-2])"), (r"^[0-9]+$", r"(\d+)")]
 SLUG = r"([a-z0-9-]+)"
+#: Patterns that match any path.
 TOO_BROAD = ["", ".*", ".+", "/.*", "/.+", "^.*$", "^.+$", "^/$", "^/.*$", "^/.+$", "^/(.*)$", "^/(.+)$"]
 
 
@@ -48,22 +49,67 @@ def is_too_broad(pattern: Column) -> Column:
     return F.trim(pattern).isin(TOO_BROAD)
 
 
-def broad_patterns(patterns: DataFrame, samples: DataFrame, probes: int = 1) -> DataFrame:
-    """(rule_id, broad): patterns that also match a sample with a segment more or less, or with a foreign constant segment."""
-    s = samples.groupBy("rule_id").agg(F.min("path").alias("path"), F.min(F.size(segments(F.col("path")))).alias("a"), F.max(F.size(segments(F.col("path")))).alias("b"))
+#: Words put in the place of a constant segment: lower case, capitals, hyphenated.
+FOREIGN = ("zzprobe", "QQQQQQ", "some-other-place")
+
+
+def broad_patterns(patterns: DataFrame, samples: DataFrame) -> DataFrame:
+    """(rule_id, broad): patterns that match paths their samples(rule_id, path) do not speak for.
+
+    Where all samples of a rule have as many segments, the first of them is tried with a segment more at either end and
+    with one less; where there are two samples or more, also with a foreign word in place of each segment that all of
+    them share.  A pattern that does not compile is broad.
+    """
+    s = samples.filter("path is not null").select("rule_id", "path", segments(F.col("path")).alias("seg"))
+    sizes = s.groupBy("rule_id").agg(F.count("*").alias("n"), F.min("path").alias("path"), F.min(F.size("seg")).alias("a"), F.max(F.size("seg")).alias("b"))
+    each = s.select("rule_id", F.posexplode("seg").alias("pos", "v")).groupBy("rule_id", "pos").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("m"))
+    shared = each.groupBy("rule_id").agg(F.collect_list(F.when(F.col("low") == F.col("high"), F.struct("pos", "m"))).alias("shared"))
+    told = sizes.join(shared, "rule_id", "left")
+    seg, even = segments(F.col("path")), (F.col("a") == F.col("b")) & (F.col("b") > 0)
+    path_of = lambda parts: F.concat(F.lit("/"), F.array_join(parts, "/"))
+    k = F.size(seg)
+    longer = [path_of(F.concat(F.array(F.lit(FOREIGN[0])), seg)), path_of(F.concat(seg, F.array(F.lit(FOREIGN[0]))))]
+    shorter = F.when(k > 1, F.array(path_of(F.slice(seg, F.lit(2), k - 1)), path_of(F.slice(seg, F.lit(1), k - 1)))).otherwise(F.array().cast("array<string>"))
+    # Segments that every sample has, with one value.
+    fixed = F.when(F.col("n") > 1, F.filter("shared", lambda x: x["m"] == F.col("n")))
+
+    def with_word(at: Column, word: str) -> Column:
+        return F.transform(seg, lambda v, i: F.when(i == at, F.lit(word)).otherwise(v))
+
+    swapped = F.flatten(F.transform(F.coalesce(fixed, F.array().cast("array<struct<pos:int,m:bigint>>")), lambda x: F.array(*[
+        path_of(with_word(x["pos"], w)) for w in FOREIGN])))
+    probes = F.when(even, F.array_except(F.concat(F.array(*longer), shorter, swapped), F.array("path"))).otherwise(F.array().cast("array<string>"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
             out = []
-            for rule, pattern, path, a, b in zip(t["rule_id"], t["pattern"], t["path"], t["a"], t["b"]):
-                part = [x for x in path.strip("/").split("/") if x]
-                tried = []
-                if a == b and part:
-                    tried = ["/zzprobe/" + "/".join(part), "/" + "/".join(part) + "/zzprobe"]
-                    if len(part) > 1:
-                        tried += ["/" + "/".join(part[1:]), "/" + "/".join(part[:-1])]
-                rx = re.compile(pattern)
-                out.append((rule, any(rx.search(x) for x in tried)))
+            for rule, pattern, tried in zip(t["rule_id"], t["pattern"], t["probes"]):
+                try:
+                    rx = re.compile(pattern)
+                    out.append((rule, any(rx.search(x) for x in tried)))
+                except (re.error, TypeError):
+                    out.append((rule, True))
             yield pd.DataFrame(out, columns=["rule_id", "broad"])
 
-    return patterns.join(s, "rule_id").mapInPandas(run, f"rule_id {dict(patterns.dtypes)['rule_id']}, broad boolean")
+    asked = patterns.select("rule_id", "pattern").join(told.select("rule_id", probes.alias("probes")), "rule_id")
+    return asked.mapInPandas(run, f"rule_id {dict(patterns.dtypes)['rule_id']}, broad boolean")
+
+
+def refine_rules(rules: DataFrame, samples: DataFrame, least: int = 5) -> tuple[DataFrame, DataFrame]:
+    """One cycle of the refiner: (rules to insert, rule_id whose samples are purged).
+
+    rules(rule_id, host_pattern, path_pattern, target_type, version, enabled, origin): enabled catch-alls of origin
+    'auto' with `least` or more samples(rule_id, path) take the path pattern of their samples, as the next version of
+    host, pattern and type; the old rule stays.  Patterns that are too broad, or that miss one of their samples, are left out.
+    """
+    catch_all = rules.filter(F.col("enabled") & (F.col("origin") == "auto") & (F.col("path_pattern") == ""))
+    own = samples.join(catch_all.select("rule_id"), "rule_id", "left_semi").filter("path is not null")
+    found = infer_patterns(own, least).filter(~is_too_broad(F.col("pattern")))
+    sound = found.join(broad_patterns(found, own).filter(~F.col("broad")).select("rule_id"), "rule_id", "left_semi")
+    missed = own.join(sound, "rule_id").filter(~F.rlike(F.col("path"), F.col("pattern"))).select("rule_id").distinct()
+    sound = sound.join(missed, "rule_id", "left_anti")
+    new = catch_all.join(sound, "rule_id").select("rule_id", "host_pattern", F.col("pattern").alias("path_pattern"), "target_type")
+    last = rules.groupBy("host_pattern", "path_pattern", "target_type").agg(F.max("version").alias("last"))
+    new = new.join(last, ["host_pattern", "path_pattern", "target_type"], "left")
+    insert = new.select("rule_id", "host_pattern", "path_pattern", "target_type", (F.coalesce("last", F.lit(0)) + 1).alias("version"), F.lit(True).alias("enabled"))
+    return insert, insert.select("rule_id")

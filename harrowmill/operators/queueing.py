@@ -65,3 +65,29 @@ def schedule_ticks(entries: DataFrame, start_s: int, end_s: int) -> DataFrame:
     """One row per emission: at the start and then each interval; entries without a positive interval emit nothing."""
     ticks = F.sequence(F.lit(start_s).cast("bigint"), F.lit(end_s).cast("bigint"), F.col("interval_s").cast("bigint"))
     return entries.filter("interval_s > 0").withColumn("tick_s", F.explode(ticks))
+
+
+def stage_slots(workers: Column, configured: Column) -> Column:
+    """Slots of a stage: half its workers, at least one, and no more than configured where that is positive."""
+    half = F.greatest(F.floor(workers / 2), F.lit(1))
+    return F.when(configured > 0, F.least(half, configured)).otherwise(half).cast("int")
+
+
+def due_retries(schedule: DataFrame, entries: DataFrame, now_ms: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """(due, orphans) of schedule(id, due_ms): the `most` earliest due ones with their entries(id, ...), and due ids without an entry.
+
+    now_ms is a one-row table (now_ms), so nothing runs before the query does.
+    """
+    due = schedule.join(F.broadcast(now_ms.select("now_ms")), F.col("due_ms") <= F.col("now_ms")).select("id", "due_ms")
+    first = due.orderBy("due_ms", "id").limit(most)
+    return first.join(entries, "id"), first.join(entries.select("id"), "id", "left_anti").select("id")
+
+
+def provider_order(providers: DataFrame, request: str, *order: Column | str) -> DataFrame:
+    """providers with rank: their place for a request by the given order, ties by the place they are stated in."""
+    return providers.withColumn("rank", F.row_number().over(W.partitionBy(request).orderBy(*order, "place")))
+
+
+def first_of(rows: DataFrame, keys: list[str], most: int, *order: Column | str) -> DataFrame:
+    """The first `most` rows of each key with their rank; rows beyond are cut within each task before they meet."""
+    return rows.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= most)

@@ -77,3 +77,18 @@ def dead_letters(messages: DataFrame, error: Column) -> tuple[DataFrame, DataFra
     own = F.map_filter("headers", lambda k, _: ~k.isin("original-topic", "error"))
     dead = marked.filter(F.col("_error").isNotNull()).withColumn("headers", F.map_concat(own, extra)).drop("_error")
     return marked.filter(F.col("_error").isNull()).drop("_error"), dead
+
+
+def analyze_sources(rows: DataFrame) -> DataFrame:
+    """rows(source_id, country, language, source_type, host, base_host, rph) -> one row per source with its hosts.
+
+    host is the one of the base url where records have it, else the first by name; mismatch names the first of country,
+    language, type and rate that the rows of a source disagree in, for which the caller rejects it.
+    """
+    differs = lambda c: F.count_distinct(c) > 1
+    mismatch = F.when(differs("country"), "country").when(differs("language"), "language").when(differs("source_type"), "type").when(differs("rph"), "rate")
+    host = F.coalesce(F.min(F.when(F.col("host") == F.col("base_host"), F.col("host"))), F.min("host"))
+    hosts = F.array_sort(F.collect_set("host"))
+    return rows.groupBy("source_id").agg(
+        host.alias("host"), F.count_distinct("host").alias("hosts"), F.array_join(hosts, ",").alias("all_hosts"), mismatch.alias("mismatch"), F.max("rph").alias("requests_per_hour")
+    )

@@ -64,13 +64,15 @@ def validated(contents: DataFrame, article: Column | None = None) -> DataFrame:
     """Adds quality (float), errors (array of field, rule), valid and code; null texts count as empty.
 
     Community records have rules of their own, every other type those for news.  `article` says whether a record must
-    have a date; the default requires none, as the flag is not stored with records.  quality_low is reported only when
+    have a date; by default its column of that name does, and tables without one require none.  quality_low is reported only when
     nothing else is wrong.
     """
+    if article is None:
+        article = F.coalesce(F.col("article"), F.lit(False)) if "article" in contents.columns else F.lit(False)
     whole = F.concat(text("title"), F.lit(" "), text("body"))
     total = F.length(whole).cast("double")
     caps, punct = F.regexp_count(whole, F.lit(r"\p{Lu}")) / total, F.regexp_count(whole, F.lit(r"[\p{P}\p{S}]")) / total
-    dated = F.when((article if article is not None else F.lit(False)) & F.col("published_s").isNull(), error("PublishedAt", "required"))
+    dated = F.when(article & F.col("published_s").isNull(), error("PublishedAt", "required"))
     news = kept(
         length_error("title", "Title", *NEWS_TITLE), length_error("body", "Body", *NEWS_BODY), dated,
         F.when(caps > CAPS_RATIO, error("Body", "spam_caps")), F.when(punct > PUNCT_RATIO, error("Body", "spam_punct")),
@@ -85,3 +87,33 @@ def validated(contents: DataFrame, article: Column | None = None) -> DataFrame:
     out = out.withColumn("errors", low).drop("_found", "_least")
     codes = F.create_map(*[F.lit(x) for kv in CODES.items() for x in kv])
     return out.withColumn("valid", F.size("errors") == 0).withColumn("code", F.when(~F.col("valid"), F.coalesce(codes[F.col("errors")[0]["rule"]], F.lit("VAL_002"))))
+
+
+#: Codes that a better extraction rule can mend; how often a record goes back to extraction, and to the queue.
+REPARSE_CODES, MOST_REPARSES, MOST_RETRIES = ("VAL_001", "VAL_003"), 2, 3
+
+
+def header_count(headers: Column, name: str) -> Column:
+    """A counter kept in a header; absent, unreadable and negative ones are 0."""
+    n = headers[name].try_cast("int")
+    return F.when(n > 0, n).otherwise(F.lit(0))
+
+
+def may_reparse(code: Column, reparses: Column) -> Column:
+    return F.coalesce(code.isin(*REPARSE_CODES) & (reparses < MOST_REPARSES), F.lit(False))
+
+
+def validation_route(valid: Column, code: Column, reparses: Column, retries: Column, reparse_enabled: bool = True) -> Column:
+    """validated, reparse (back to extraction), requeue or dead (dead letters, record deleted)."""
+    again = may_reparse(code, reparses) & F.lit(reparse_enabled)
+    return F.when(valid, "validated").when(again, "reparse").when(retries < MOST_RETRIES, "requeue").otherwise("dead")
+
+
+def with_status(validated: DataFrame) -> DataFrame:
+    """Adds validation_status, reject_code and reject_detail; a record that passed loses what an earlier round stored."""
+    first = F.col("errors")[0]
+    detail = F.concat(first["field"], F.lit(": "), first["rule"])
+    return validated.withColumns({
+        "validation_status": F.when(F.col("valid"), "passed").otherwise("rejected"),
+        "reject_code": F.when(~F.col("valid"), F.col("code")), "reject_detail": F.when(~F.col("valid"), detail),
+    })

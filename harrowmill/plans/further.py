@@ -6,11 +6,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from harrowmill.functions import urls as U
-from harrowmill.operators import enrich as E, html as H, inference as I, queueing as Q, store as St, windows as Wn
+from harrowmill.operators import enrich as E, html as H, inference as I, publish as Pb, queueing as Q, store as St, windows as Wn
 from harrowmill.plans import fixtures as X
 from harrowmill.plans.reading import _BEST_BLACK, _BLACK, _HOST, _PAGES, _PATH, _pages
 from harrowmill.plans.registry import Registry
 from harrowmill.plans.writing import _EV, _HOUR, _JOBS, _P, _events, _jobs
+from harrowmill.sources import connectors as C
 from harrowmill.sources.tables import table
 
 query = Registry()
@@ -28,20 +29,28 @@ def header_defaults(spark, d):
     return table(spark, d, "raw_contents").select("id", F.when(t > 0, t).otherwise(30).alias("timeout_s"), F.coalesce(F.col("headers")["content-type"], F.lit("text/html")).alias("content_type"))
 
 
-@query("error_class_model", "select status_code, case when status_code in (401, 403) then 'auth' when status_code = 429 then 'rate_limit' when status_code between 500 and 599 then 'server' when status_code between 400 and 499 then 'bad_request' else 'unknown' end as class, not status_code between 400 and 499 or status_code in (401, 403, 429) as delegate, count(*) as n from raw_contents group by all")
+_MESSAGE = "case when contains(lower(html), 'budget') then 'Maximum Context of 9 exceeded' else 'bad' end"
+
+
+@query("error_class_model", f"with m as (select case when status_code between 400 and 499 and status_code not in (401, 403, 429) then 400 else status_code end as s, {_MESSAGE} as msg from raw_contents), "
+       "c as (select s, case when s in (401, 403) then 'auth' when s = 429 then 'rate_limit' when s between 500 and 599 then 'server' when s = 400 and msg like 'Maximum%' then 'context_limit' when s between 400 and 499 then 'bad_request' else 'unknown' end as class from m) select s as status, class, class <> 'bad_request' as delegate, count(*) as n from c group by all")
 def error_class_model(spark, d):
-    s = F.col("status_code")
-    kind = F.when(s.isin(401, 403), "auth").when(s == 429, "rate_limit").when(s.between(500, 599), "server").when(s.between(400, 499), "bad_request").otherwise("unknown")
-    return table(spark, d, "raw_contents").groupBy("status_code", kind.alias("class"), (kind != "bad_request").alias("delegate")).agg(F.count("*").alias("n"))
+    """Client errors are read as 400, with a message that for some pages speaks of a too long input."""
+    code = F.col("status_code")
+    s = F.when(code.between(400, 499) & ~code.isin(401, 403, 429), 400).otherwise(code)
+    said = F.when(F.lower("html").contains("budget"), "Maximum Context of 9 exceeded").otherwise("bad")
+    kind = E.error_class(F.col("status"), F.col("message"))
+    r = table(spark, d, "raw_contents").select(s.alias("status"), said.alias("message"))
+    return r.groupBy("status", kind.alias("class"), E.may_delegate(kind).alias("delegate")).agg(F.count("*").alias("n"))
 
 
-@query("retryable_errors", "select count(*) as n from raw_contents where status_code = 429 or (status_code >= 500 and status_code % 2 = 0)")
+@query("retryable_errors", "select delivery_id % 5 as kind, count(*) as n from content_refs where country is not null and delivery_id % 5 in (0, 1, 2) group by 1")
 def retryable_errors(spark, d):
-    """Retried only if flagged and of a category that the policy names."""
-    s = F.col("status_code")
-    category = F.when(s == 429, "rate_limit").when((s >= 500) & (s % 2 == 0), "network").otherwise("validation")
-    flagged = (s == 429) | (s >= 500)
-    return table(spark, d, "raw_contents").filter(flagged & category.isin("network", "timeout", "rate_limit")).agg(F.count("*").alias("n"))
+    """Retried only if the error is flagged (here: deliveries with a country) and of a category that the policy names."""
+    k = F.col("delivery_id") % 5
+    category = F.when(k == 0, "network").when(k == 1, "timeout").when(k == 2, "rate_limit").when(k == 3, "validation").otherwise("internal")
+    r = table(spark, d, "content_refs").withColumns({"category": category, "flagged": F.col("country").isNotNull(), "kind": k})
+    return r.filter(F.col("flagged") & F.col("category").isin("network", "timeout", "rate_limit")).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 @query("tagged_union", f"select 'article' as lane, id from contents where article union all select 'list', id from contents where not article and {_PATH} like '/sports/%'")
@@ -74,11 +83,28 @@ def priority_intake(spark, d):
     return table(spark, d, "content_refs").filter(F.coalesce("id", F.lit("")) != "").agg(F.count("*").alias("kept"), F.count_distinct("id").alias("ids"))
 
 
-@query("pending_queue", "select source_id, least(count(*), 1000) as queued, greatest(count(*) - 1000, 0) as refused from contents group by 1")
+@query("pending_queue", "select source_id, id, row_number() over (partition by source_id order by created_at, id) as place, row_number() over (partition by source_id order by created_at, id) <= 30 as accepted from contents where created_at is not null")
 def pending_queue(spark, d):
-    """New entries are refused once a thousand wait: counted, so that no source's entries meet in one task."""
-    n = F.count("*")
-    return table(spark, d, "contents").groupBy("source_id").agg(F.least(n, F.lit(1000)).alias("queued"), F.greatest(n - 1000, F.lit(0)).alias("refused"))
+    """Thirty wait per source in order of arrival, later ones are refused."""
+    c = table(spark, d, "contents").filter("created_at is not null").select("source_id", "id", F.col("created_at").alias("arrival"))
+    return Pb.pending_pushes(c, ["source_id"], 30).select("source_id", "id", "place", "accepted")
+
+
+@query("stage_slots", "select source_id, case when requests_per_hour > 0 then least(greatest(length(name) // 2, 1), requests_per_hour // 20) else greatest(length(name) // 2, 1) end::int as slots from sources")
+def stage_slots(spark, d):
+    s = table(spark, d, "sources")
+    limit = F.when(F.col("requests_per_hour") > 0, F.floor(F.col("requests_per_hour") / 20))
+    return s.select("source_id", Q.stage_slots(F.length("name"), limit).alias("slots"))
+
+
+@query("header_codec", "select id, array_to_string(list_sort(list_transform(map_entries(headers), lambda e: e.key || '=' || coalesce(e.value, ''))), ';') as entries, len(map_keys(headers))::int as n from raw_contents where headers is not null")
+def header_codec(spark, d):
+    """Headers to broker entries and back; of keys given twice the last one counts."""
+    r = table(spark, d, "raw_contents").filter("headers is not null")
+    twice = F.concat(F.transform(F.map_keys("headers"), lambda k: F.struct(k.alias("key"), F.lit("old").cast("binary").alias("value"))), C.header_entries(F.col("headers")))
+    back = C.header_map(twice)
+    text = F.array_join(F.array_sort(F.transform(F.map_entries(back), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit(""))))), ";")
+    return r.select("id", text.alias("entries"), F.size(back).alias("n"))
 
 
 @query("sample_accumulate", f"with s as (select source_id, url, min(created_at) as t from contents group by all) select source_id, count(*) as n from (select *, row_number() over (partition by source_id order by t, url) as rn from s) where rn <= 100 group by 1")
@@ -120,11 +146,23 @@ def auto_downgrade(spark, d):
     return s.select("source_id", F.when(auto, "plain").otherwise("browser").alias("fetcher"), auto.alias("changed"))
 
 
-@query("fetcher_rule_upsert", "select host, arg_max(kind, n) as kind from (values ('a.example', 'plain', 1), ('a.example', 'browser', 2), ('b.example', 'plain', 3)) t(host, kind, n) group by 1")
+@query("fetcher_rule_upsert", f"select {_HOST} as host, arg_max(case when created_at is null then 'plain' else ['plain', 'browser'][1 + word_count % 2] end, (created_at, id)) as kind from contents where url is not null and created_at is not null and word_count % 3 < 2 group by 1")
 def fetcher_rule_upsert(spark, d):
-    r = spark.createDataFrame([(" A.example", "plain", 1), ("a.example ", "browser", 2), ("b.example", "plain", 3), ("c.example", "magic", 4)], "host string, kind string, n int")
+    """One rule a host, the last one stated; hosts in any case and with blanks, unknown kinds left out."""
+    n = F.col("word_count")
+    kind = F.when(n % 3 == 2, "magic").when(n % 2 == 0, "plain").otherwise("browser")
+    host = F.concat(F.lit(" "), F.upper(U.url_hostname(F.col("url"))), F.lit(" "))
+    r = table(spark, d, "contents").filter("url is not null and created_at is not null").select(host.alias("host"), kind.alias("kind"), "created_at", "id")
     good = r.filter(F.col("kind").isin("plain", "browser")).withColumn("host", F.lower(F.trim("host")))
-    return St.latest_per_key(good, ["host"], "n").select("host", "kind")
+    return St.latest_per_key(good, ["host"], "created_at", "id").select("host", "kind")
+
+
+@query("provider_orders", "select s_nationkey as request, s_suppkey as id, row_number() over (partition by s_nationkey order by s_suppkey) as fixed, row_number() over (partition by s_nationkey order by coalesce(nullif(s_suppkey % 7, 0), 1000), s_suppkey) as latency from supplier")
+def provider_orders(spark, d):
+    """In the order stated, and by measured latency with unmeasured providers last."""
+    s = table(spark, d, "supplier").select(F.col("s_nationkey").alias("request"), F.col("s_suppkey").alias("id"), F.col("s_suppkey").alias("place"), F.nullif(F.col("s_suppkey") % 7, F.lit(0)).alias("latency_ms"))
+    fixed = Q.provider_order(s, "request").withColumnRenamed("rank", "fixed")
+    return Q.provider_order(fixed, "request", F.asc_nulls_last("latency_ms")).select("request", "id", "fixed", F.col("rank").alias("latency"))
 
 
 @query("provider_cheapest", "select s_nationkey as request, s_suppkey as id, row_number() over (partition by s_nationkey order by floor(s_acctbal / 1000), s_acctbal, s_suppkey) as rank from supplier")
@@ -161,17 +199,22 @@ def response_salvage(spark, d):
     return table(spark, d, "claims").withColumn("v", got).filter("v <> ''").select("claim_id", (F.col("v") == "true").alias("valid"))
 
 
-@query("first_line_pattern", "select claim_id, '^/' || coalesce(predicate, 'x') || '$' as pattern, false as broad from claims")
+@query("first_line_pattern", "select claim_id, case claim_id % 5 when 0 then '^/.*$' when 1 then '/.+' else '^/' || coalesce(predicate, 'x') || '$' end as pattern, claim_id % 5 in (0, 1) as broad from claims")
 def first_line_pattern(spark, d):
-    said = F.concat(F.lit("\n  \n^/"), F.coalesce("predicate", F.lit("x")), F.lit("$  \nbecause"))
-    line = E.trimmed(F.filter(F.split(said, "\n"), lambda x: E.trimmed(x) != "")[0])
-    return table(spark, d, "claims").select("claim_id", line.alias("pattern"), I.is_too_broad(line).alias("broad"))
+    """The first line that is not blank, or the first one within code fences; patterns for any path are broad."""
+    n = F.col("claim_id")
+    line = F.when(n % 5 == 0, "^/.*$").when(n % 5 == 1, "/.+").otherwise(F.concat(F.lit("^/"), F.coalesce("predicate", F.lit("x")), F.lit("$")))
+    said = F.when(n % 2 == 0, F.concat(F.lit("\n  \n"), line, F.lit("  \nbecause"))).otherwise(F.concat(F.lit("The pattern is\n```regex\n\n  "), line, F.lit("\n```\nas asked.")))
+    first = E.trimmed(F.filter(F.split(E.strip_fences(said), "\n"), lambda x: E.trimmed(x) != "")[0])
+    return table(spark, d, "claims").select("claim_id", first.alias("pattern"), I.is_too_broad(first).alias("broad"))
 
 
 @query("selector_sanity")
 def selector_sanity(spark, d):
-    hits = H.selector_hits(table(spark, d, "raw_contents").filter("html is not null"), {"title": ("h1, h2, h3", None), "main": ("p, div", None)})
-    return hits.groupBy(((F.col("hits")["title"] > 0) & (F.col("hits")["main"] > 0)).alias("sane")).agg(F.count("*").alias("n"))
+    hits = H.selector_hits(table(spark, d, "raw_contents").filter("html is not null"), {"title": ("h1, h2, h3", None), "main": ("p, div", None), "container": ("li, div", None), "link": ("a[href]", "href")})
+    h = F.col("hits")
+    page, listed = (h["title"] > 0) & (h["main"] > 0), (h["container"] > 0) & (h["link"] > 0)
+    return hits.groupBy(page.alias("page_sane"), listed.alias("list_sane")).agg(F.count("*").alias("n"))
 
 
 @query("ingestion_keys", "select id, 'ingestion:url:' || sha256(url) as key from contents where url is not null")

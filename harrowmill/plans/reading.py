@@ -118,10 +118,16 @@ def url_options(spark, d):
     return table(spark, d, "content_refs").filter("url is not null").select("delivery_id", U.normalize_or_keep(F.col("url"), **opts).alias("kept"))
 
 
-@query("url_allowed_params", "select delivery_id, case when url like '%utm_source=feed%' and lower(url) like '%velmoracourier%' then 'utm_source=feed' else '' end as query from content_refs where url is not null")
+_ASKED = "asked as (select delivery_id, coalesce(topic, '') || '=' || coalesce(id, '') || ' é*~' as v, topic from content_refs)"
+
+
+@query("url_allowed_params", f"with {_ASKED} select delivery_id, 'A=' || replace(replace(replace(url_encode(v), '%20', '+'), '%7E', '~'), '*', '%2A') || '&A=2&page=' || (delivery_id % 7) || '&v=a%3Db' as query from asked")
 def url_allowed_params(spark, d):
-    norm = U.normalize_or_keep(F.col("url"), allowed_params={"velmoracourier.example": ["utm_source"]})
-    return table(spark, d, "content_refs").filter("url is not null").select("delivery_id", U.url_query(norm).alias("query"))
+    """Values with further "=", blanks, accents and signs; repeated, foreign and empty parameters."""
+    v = F.concat(F.coalesce("topic", F.lit("")), F.lit("="), F.coalesce("id", F.lit("")), F.lit(" é*~"))
+    asked = F.concat(F.lit("https://WWW.site.example/a?x=1&v=a=b&&A="), F.url_encode(v), F.lit("&utm=%20&page="), (F.col("delivery_id") % 7).cast("string"), F.lit("&A=2&page2"))
+    norm = U.normalize_or_keep(asked, allowed_params={"site.example": ["a", "V", "page"]})
+    return table(spark, d, "content_refs").select("delivery_id", U.url_query(norm).alias("query"))
 
 
 @query("url_guard", "select id, case when lower(url) like '%/sports/%' then '/sports/' when lower(url) like '%council%' then 'Council' end as denied from contents")

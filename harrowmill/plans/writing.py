@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from harrowmill.functions import urls as U
 from harrowmill.functions.datetimes import ntz_micros
-from harrowmill.operators import folds, queueing as Q, store as St, validate as V, windows as Wn
+from harrowmill.operators import folds, publish as Pb, queueing as Q, store as St, validate as V, windows as Wn
 from harrowmill.plans import fixtures as X
+from harrowmill.plans.general import _URL
 from harrowmill.plans.reading import _HOST
 from harrowmill.plans.registry import Registry
 from harrowmill.sources.tables import table
@@ -20,22 +21,28 @@ query = Registry()
 _T = "coalesce(title, '') || ' ' || coalesce(body, '')"
 _COUNT = "(length({t}) - length(regexp_replace({t}, '{p}', '', 'g')))::double / length({t})"
 _WC = "coalesce(word_count, 0)::double"
-_VALID = rf"""scored as (select *,
+#: Share of the characters of a text that stand in runs of four or more equal ones, per id.
+_FLOOD = """ch as (select id, unnest(string_split(body, '')) as c, unnest(range(length(body))) as i from contents where body <> ''),
+ runs as (select id, c, count(*) as n from (select *, i - row_number() over (partition by id, c order by i) as g from ch) group by id, c, g having count(*) >= 4),
+ floods as (select t.id, coalesce(any_value(r.n), 0)::double / any_value(length(body)) as flood from contents t left join (select id, sum(n) as n from runs group by id) r using (id) where body <> '' group by t.id)"""
+_VALID = rf"""{_FLOOD}, scored as (select *,
   case when source_type = 'community' then ((case when length(coalesce(body, '')) < 50 then 0.0::double when length(coalesce(body, '')) >= 200 then 1.0::double else length(coalesce(body, '')) / 200.0::double end) * 0.6::double
       + ((case when coalesce(title, '') <> '' then 0.4::double else 0 end) + (case when published_s is not null then 0.3::double else 0 end) + (case when trim(coalesce(url, '')) <> '' then 0.3::double else 0 end)) * 0.4::double)::float
     else ((case when {_WC} <= 0 then 0.5::double when {_WC} >= 200 then 1.0::double when {_WC} < 50 then {_WC} / 50 * 0.5::double else 0.5::double + ({_WC} - 50) / 150 * 0.5::double end) * 0.4::double
       + ((case when coalesce(author, '') <> '' then 0.4::double else 0 end) + (case when coalesce(category, '') <> '' then 0.3::double else 0 end) + (case when len(coalesce(tags, [])) > 0 then 0.3::double else 0 end)) * 0.3::double
       + ((case when coalesce(url, '') <> '' then 0.3::double else 0 end) + (case when coalesce(summary, '') <> '' then 0.3::double else 0 end) + (case when contains(coalesce(body, ''), chr(10)) then 0.4::double else 0 end)) * 0.3::double)::float end as quality,
-  {_COUNT.format(t='(' + _T + ')', p='[^\\p{Lu}]').replace('(length((', '(length((', 1)} as not_caps,
-  1 - {_COUNT.format(t='(' + _T + ')', p='[\\p{P}\\p{S}]')} as not_punct from content_rows),
+  {_COUNT.format(t='(' + _T + ')', p='[^\\p{Lu}]')} as not_caps,
+  1 - {_COUNT.format(t='(' + _T + ')', p='[\\p{P}\\p{S}]')} as not_punct from content_rows left join floods using (id)),
  judged as (select *, list_filter([
    case when source_type <> 'community' and length(coalesce(title, '')) < 10 then 'min_length' when source_type <> 'community' and length(coalesce(title, '')) > 500 then 'max_length' end,
    case when source_type <> 'community' and length(coalesce(body, '')) < 100 then 'min_length' when source_type <> 'community' and length(coalesce(body, '')) > 50000 then 'max_length' end,
+   case when source_type <> 'community' and article and published_s is null then 'required' end,
    case when source_type <> 'community' and 1 - not_caps > 0.20 then 'spam_caps' end,
    case when source_type <> 'community' and 1 - not_punct > 0.10 then 'spam_punct' end,
-   case when source_type = 'community' and length(coalesce(body, '')) < 50 then 'min_length' end], lambda x: x is not null) as found from scored),
+   case when source_type = 'community' and length(coalesce(body, '')) < 50 then 'min_length' end,
+   case when source_type = 'community' and flood > 0.30 then 'spam_flood' end], lambda x: x is not null) as found from scored),
  verdicts as (select *, case when len(found) = 0 and quality < (case when source_type = 'community' then 0.4::float else 0.5::float end) then ['quality_low'] else found end as rules from judged),
- coded as (select *, len(rules) = 0 as valid, case rules[1] when 'min_length' then 'VAL_003' when 'max_length' then 'VAL_004' when 'required' then 'VAL_001' when 'spam_caps' then 'VAL_006' when 'spam_punct' then 'VAL_006' when 'quality_low' then 'VAL_005' end as code from verdicts)"""
+ coded as (select *, len(rules) = 0 as valid, case rules[1] when 'min_length' then 'VAL_003' when 'max_length' then 'VAL_004' when 'required' then 'VAL_001' when 'spam_caps' then 'VAL_006' when 'spam_punct' then 'VAL_006' when 'spam_flood' then 'VAL_006' when 'quality_low' then 'VAL_005' end as code from verdicts)"""
 _CODED = f"with {X.CONTENTS}, {_VALID}"
 
 
@@ -71,14 +78,38 @@ def article_date_required(spark, d):
     return v.filter(F.exists("errors", lambda e: e["rule"] == "required")).select("id")
 
 
-@query("flood_runs", "with ch as (select id, unnest(string_split(title, '')) as c, unnest(range(length(title))) as i from contents where title is not null), "
-       "r as (select *, i - row_number() over (partition by id, c order by i) as grp from ch), g as (select id, c, grp, count(*) as n from r group by all) "
-       "select t.id, round(coalesce((select sum(n) from g where g.id = t.id and n >= 2), 0)::double / greatest(length(title), 1), 6) as share from contents t where title is not null and length(title) > 0")
+@query("flood_runs", f"with {_FLOOD} select id, round(flood, 6) as share from floods")
 def flood_runs(spark, d):
-    """Share of title characters that repeat their neighbour."""
-    t = table(spark, d, "contents").filter("title is not null and length(title) > 0")
-    total, rest = F.length("title"), F.length(F.regexp_replace("title", r"(?s)(.)\1{1,}", ""))
-    return t.select("id", F.round((total - rest) / total, 6).alias("share"))
+    """Share of the characters of each body that stand in runs of four or more equal ones."""
+    t = table(spark, d, "contents").filter("body <> ''")
+    return t.select("id", F.round(V.repeat_share(F.col("body")), 6).alias("share"))
+
+
+_ROUTED = f"""{_CODED}, routed as (select *, case when try_cast(substr(id, 1, 1) as int) > 0 then try_cast(substr(id, 1, 1) as int) else 0 end as reparses, coalesce(word_count, 0) % 5 as retries from coded)"""
+
+
+def _routed(spark, d):
+    """Counters as a message carries them: the reparse count in a header (text, sometimes no number), the retries beside it."""
+    v = _validated(spark, d).withColumn("headers", F.create_map(F.lit("reparse_count"), F.substring("id", 1, 1)))
+    return v.withColumns({"reparses": V.header_count(F.col("headers"), "reparse_count"), "retries": F.coalesce("word_count", F.lit(0)) % 5})
+
+
+@query("validate_route", f"{_ROUTED} select id, case when valid then 'validated' when code in ('VAL_001', 'VAL_003') and reparses < 2 then 'reparse' when retries < 3 then 'requeue' else 'dead' end as route from routed")
+def validate_route(spark, d):
+    route = V.validation_route(F.col("valid"), F.col("code"), F.col("reparses"), F.col("retries"))
+    return _routed(spark, d).select("id", route.alias("route"))
+
+
+@query("reparse_gate", f"{_ROUTED} select id, reparses::int as reparses, coalesce(code in ('VAL_001', 'VAL_003') and reparses < 2, false) as eligible from routed")
+def reparse_gate(spark, d):
+    r = _routed(spark, d)
+    return r.select("id", "reparses", V.may_reparse(F.col("code"), F.col("reparses")).alias("eligible"))
+
+
+@query("validation_status", f"{_CODED} select id, case when valid then 'passed' else 'rejected' end as validation_status, case when not valid then code end as reject_code, case when not valid then rules[1] end as reject_rule from coded")
+def validation_status(spark, d):
+    v = V.with_status(_validated(spark, d))
+    return v.select("id", "validation_status", "reject_code", F.substring_index("reject_detail", ": ", -1).alias("reject_rule"))
 
 
 # --- storage -----------------------------------------------------------------------------------------------------
@@ -128,9 +159,9 @@ def enriched_upsert(spark, d):
 @query("raw_retention", "select count(*) filter (created_at >= cutoff) as kept, count(*) filter (created_at < cutoff) as dropped from raw_contents, (select max(created_at) - interval 90 day as cutoff from raw_contents)")
 def raw_retention(spark, d):
     r = table(spark, d, "raw_contents").select("created_at")
-    cutoff = r.agg(F.unix_micros(F.max("created_at") - F.expr("interval 90 days"))).first()[0]
-    kept = F.unix_micros("created_at") >= cutoff
-    return r.agg(F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped"))
+    last = F.broadcast(r.agg((F.max("created_at") - F.expr("interval 90 days")).alias("cutoff")))  # one row
+    kept = F.col("created_at") >= F.col("cutoff")
+    return r.join(last).agg(F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped"))
 
 
 @query("delete_by_id", "select count(*) as n from entities e where not exists (select 1 from contents c where c.id = e.content_id and c.word_count = 0)")
@@ -154,16 +185,22 @@ def dlq_split(spark, d):
 @query("count_by_country", "select k.country, coalesce(n, 0)::bigint as n from (values ('US'), ('KR'), ('JP')) k(country) left join (select country, count(*) as n from contents, (select max(created_at) - interval 365 day as cut from contents) where created_at >= cut group by 1) c using (country)")
 def count_by_country(spark, d):
     c = table(spark, d, "contents").select("country", "created_at")
-    cut = c.agg(F.unix_micros(F.max("created_at") - F.expr("interval 365 days"))).first()[0]
-    n = c.filter(F.unix_micros("created_at") >= cut).groupBy("country").agg(F.count("*").alias("n"))
+    last = F.broadcast(c.agg((F.max("created_at") - F.expr("interval 365 days")).alias("cutoff")))  # one row
+    n = c.join(last, F.col("created_at") >= F.col("cutoff")).groupBy("country").agg(F.count("*").alias("n"))
     return spark.createDataFrame([("US",), ("KR",), ("JP",)], "country string").join(n, "country", "left").select("country", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("source_analysis", f"select source_id, count(distinct country) > 1 or count(distinct source_type) > 1 as mixed, min({_HOST}) as host, count(distinct {_HOST}) as hosts, min(language) as language from contents group by 1")
+_SEEN = f"seen as (select source_id, country, language, source_type, {_HOST} as host from contents where url is not null)"
+
+
+@query("source_analysis", f"with {_SEEN}, b as (select source_id, lower(regexp_extract(base_url, '^[a-z]+://([^/]*)', 1)) as base_host, coalesce(requests_per_hour, 0) as rph, type from sources), "
+       "g as (select s.source_id, count(distinct s.country) as nc, count(distinct s.language) as nl, count(distinct s.source_type) as nt, min(host) filter (host = base_host) as exact, min(host) as low, count(distinct host) as hosts, string_agg(distinct host, ',' order by host) as all_hosts, any_value(rph) as rph from seen s join b using (source_id) group by 1) "
+       "select source_id, coalesce(exact, low) as host, hosts, all_hosts, case when nc > 1 then 'country' when nl > 1 then 'language' when nt > 1 then 'type' end as mismatch, rph::int as requests_per_hour from g")
 def source_analysis(spark, d):
-    c = table(spark, d, "contents").select("source_id", "country", "source_type", "language", U.url_hostname(F.col("url")).alias("host"))
-    mixed = (F.count_distinct("country") > 1) | (F.count_distinct("source_type") > 1)
-    return c.groupBy("source_id").agg(mixed.alias("mixed"), F.min("host").alias("host"), F.count_distinct("host").alias("hosts"), F.min("language").alias("language"))
+    """Hosts of each source, its canonical one (that of its base url, else the first), and the first field its records disagree in."""
+    b = table(spark, d, "sources").select("source_id", U.url_hostname(F.col("base_url")).alias("base_host"), F.coalesce("requests_per_hour", F.lit(0)).alias("rph"))
+    c = table(spark, d, "contents").filter("url is not null").select("source_id", "country", "language", "source_type", U.url_hostname(F.col("url")).alias("host"))
+    return St.analyze_sources(c.join(b, "source_id"))
 
 
 @query("sample_cap", "select source_id, least(count(distinct url), 100) as kept from contents group by 1")
@@ -206,12 +243,22 @@ def drain_quota(spark, d):
     return j.select("label", Q.drain_quota(F.lit(3000), F.col("len"), F.lit(100), F.col("len")).alias("n"))
 
 
-@query("retry_due", f"with {_JOBS} select id, ms from jobs where p = 1 and ms <= (select median_ms from (select (min(ms) + max(ms)) // 2 as median_ms from jobs)) order by ms, id limit 50")
+@query("retry_due", f"with {_JOBS} select id, ms, p::varchar as priority from (select * from jobs where p = 1 and ms <= (select (min(ms) + max(ms)) // 2 from jobs) order by ms, id limit 50) where id % 7 <> 0")
 def retry_due(spark, d):
     j = _jobs(spark, d)
-    now = j.agg(F.floor((F.min("arrival_ms") + F.max("arrival_ms")) / 2)).first()[0]
-    due = j.filter((F.col("priority") == "1") & (F.col("arrival_ms") <= now))
-    return due.orderBy("arrival_ms", "id").limit(50).select("id", F.col("arrival_ms").alias("ms"))
+    now = j.agg(F.floor((F.min("arrival_ms") + F.max("arrival_ms")) / 2).alias("now_ms"))
+    schedule = j.filter("priority = '1'").select("id", F.col("arrival_ms").alias("due_ms"))
+    due, _ = Q.due_retries(schedule, j.filter("id % 7 <> 0").select("id", "priority"), now, 50)
+    return due.select("id", F.col("due_ms").alias("ms"), "priority")
+
+
+@query("retry_orphans", f"with {_JOBS} select id from (select id from jobs where p = 1 and ms <= (select (min(ms) + max(ms)) // 2 from jobs) order by ms, id limit 50) where id % 7 = 0")
+def retry_orphans(spark, d):
+    """Scheduled ids whose entry is gone are taken off the schedule."""
+    j = _jobs(spark, d)
+    now = j.agg(F.floor((F.min("arrival_ms") + F.max("arrival_ms")) / 2).alias("now_ms"))
+    schedule = j.filter("priority = '1'").select("id", F.col("arrival_ms").alias("due_ms"))
+    return Q.due_retries(schedule, j.filter("id % 7 <> 0").select("id", "priority"), now, 50)[1]
 
 
 @query("retry_backoff", "select l_orderkey, l_linenumber, least(5.0::double * pow(2, l_linenumber - 1), 300) as wait_s, l_linenumber >= 3 as dead from lineitem where l_returnflag = 'R'")
@@ -254,13 +301,18 @@ def schedule_ticks(spark, d):
     return Q.schedule_ticks(s, 1704067200, 1704067200 + 7200).select("source_id", "tick_s")
 
 
-@query("keyword_pages", "select k, unnest(range(1, least(n, 100) + 1, 10))::int as start from (values ('budget', 25), ('harbour', 100), ('tram', 7)) t(k, n)")
+@query("keyword_pages", "with hits as (select country as k, url, row_number() over (partition by country order by created_at, url) as n from contents where country is not null), paged as (select k, url, (n - 1) // 10 * 10 + 1 as start from hits where n <= 100) "
+       "select k, start::int as start, count(distinct url) as n from paged group by all")
 def keyword_pages(spark, d):
-    k = spark.createDataFrame([("budget", 25), ("harbour", 100), ("tram", 7)], "k string, n int")
-    return k.select("k", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(100)), F.lit(10))).alias("start"))
+    """Search results read ten at a time up to a hundred: the page plan joined to ranked hits, each url once."""
+    c = table(spark, d, "contents").filter("country is not null").select(F.col("country").alias("k"), "url", "created_at")
+    best = Q.first_of(c, ["k"], 100, "created_at", "url")
+    plan = best.groupBy("k").agg(F.count("*").alias("n")).select("k", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"), F.lit(10))).alias("start"))
+    page = best.withColumn("start", (F.floor((F.col("rank") - 1) / 10) * 10 + 1).cast("int"))
+    return plan.join(page, ["k", "start"]).groupBy("k", "start").agg(F.count_distinct("url").alias("n"))
 
 
-@query("keyword_hosts", f"select {_HOST} as host, count(distinct url) as n from contents where title ilike any (array['%budget%', '%harbor%', '%tram%']) group by 1".replace("ilike any (array['%budget%', '%harbor%', '%tram%'])", "ilike '%budget%' or title ilike '%harbor%' or title ilike '%tram%'"))
+@query("keyword_hosts", f"select {_HOST} as host, count(distinct url) as n from contents where title ilike '%budget%' or title ilike '%harbor%' or title ilike '%tram%' group by 1")
 def keyword_hosts(spark, d):
     t = F.col("title")
     c = table(spark, d, "contents").filter(t.ilike("%budget%") | t.ilike("%harbor%") | t.ilike("%tram%"))
@@ -280,12 +332,38 @@ def error_counter(spark, d):
     return e.groupBy("event_type").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "event_type")
 
 
-@query("seed_publish", "with e as (select source_id, base_url, epoch_ms(now())*0 as z from sources where requests_per_hour is not null) select source_id, 'crawl.' || case when source_id = 'src-junior-lantern' then 'low' else 'normal' end as topic, sha256('ingestion:url:' || sha256(base_url)) as key from e")
+_CHAIN_URL = _URL
+_REQUESTS = f"""req as (select delivery_id as id, {_CHAIN_URL} as url, case when topic = 'normalized' then 'category' else 'article' end as target_type, epoch_us(delivered_at) as ts_us from content_refs),
+  open as (select *, case target_type when 'category' then 60000000 else 86400000000 end as ttl, row_number() over (partition by url order by ts_us, id) as rn from req where url <> '' and lower(url) not like '%/sports/%')"""
+_LET_IN = """let_in as (select url, rn, id, ts_us, ts_us + ttl as until_us, true as accepted, target_type from open where rn = 1
+  union all select o.url, o.rn, o.id, o.ts_us, case when o.ts_us >= l.until_us then o.ts_us + o.ttl else l.until_us end, o.ts_us >= l.until_us, o.target_type from let_in l join open o on o.url = l.url and o.rn = l.rn + 1)"""
+
+
+def _requests(spark, d):
+    r = table(spark, d, "content_refs")
+    kind = F.when(F.col("topic") == "normalized", "category").otherwise("article")
+    priority = F.when(kind == "category", 1).otherwise(2)
+    return r.select(F.col("delivery_id").alias("id"), F.lit("feed").alias("crawler"), "url", kind.alias("target_type"), priority.alias("priority"), ntz_micros("delivered_at").alias("ts_us"))
+
+
+@query("publish_chain", f"with recursive {_REQUESTS}, {_LET_IN} select url, ts_us, target_type, case target_type when 'category' then 'crawl.high' else 'crawl.normal' end as topic, sha256('ingestion:url:' || sha256(url)) as key, "
+       "substr(sha256('feed' || chr(1) || url || chr(1) || ts_us), 1, 32) as job_id from let_in where accepted")
+def publish_chain(spark, d):
+    """Normalise, guard, once per TTL by target type, jobs with topic, key and a replayable id."""
+    return Pb.publish_jobs(_requests(spark, d), ["/sports/"]).select("url", "ts_us", "target_type", "topic", "key", "job_id")
+
+
+@query("seed_publish", "with recursive t as (select source_id, base_url as url, type, unnest(range(1704067200, 1704067200 + 90001, case when type = 'community' then 600 else 1800 end))::bigint * 1000000 as ts_us from sources where requests_per_hour is not null), "
+       "open as (select *, case type when 'community' then 60000000 else 86400000000 end as ttl, row_number() over (partition by url order by ts_us) as rn from t), "
+       "let_in as (select url, rn, source_id, ts_us, ts_us + ttl as until_us, true as accepted from open where rn = 1 union all select o.url, o.rn, o.source_id, o.ts_us, case when o.ts_us >= l.until_us then o.ts_us + o.ttl else l.until_us end, o.ts_us >= l.until_us from let_in l join open o on o.url = l.url and o.rn = l.rn + 1) "
+       "select source_id, count(*) as published from let_in where accepted group by 1")
 def seed_publish(spark, d):
-    s = table(spark, d, "sources").filter("requests_per_hour is not null")
-    lane = F.when(F.col("source_id") == "src-junior-lantern", "low").otherwise("normal")
-    key = F.sha2(F.concat(F.lit("ingestion:url:"), F.sha2("base_url", 256)), 256)
-    return s.select("source_id", F.concat(F.lit("crawl."), lane).alias("topic"), key.alias("key"))
+    """Ticks of a day and an hour through the chain: category seeds pass each time, article seeds once a day; the rest is skipped."""
+    s = table(spark, d, "sources").filter("requests_per_hour is not null").withColumn("interval_s", F.when(F.col("type") == "community", 600).otherwise(1800))
+    ticks = Q.schedule_ticks(s, 1704067200, 1704067200 + 90000)
+    kind = F.when(F.col("type") == "community", "category").otherwise("article")
+    req = ticks.select(F.col("tick_s").alias("id"), F.col("source_id").alias("crawler"), F.col("base_url").alias("url"), kind.alias("target_type"), F.lit(2).alias("priority"), (F.col("tick_s") * 1_000_000).alias("ts_us"))
+    return Pb.publish_jobs(req).groupBy(F.col("crawler").alias("source_id")).agg(F.count("*").alias("published"))
 
 
 # --- windows and state -------------------------------------------------------------------------------------------
@@ -337,15 +415,35 @@ def ttl_dedup(spark, d):
     return a.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("accepted").cast("int")).alias("accepted"))
 
 
-@query("token_bucket")
+@query("token_bucket", f"with recursive {_EV}, o as (select host, ts_us, row_number() over (partition by host order by ts_us, id) as rn from ev), "
+       "f as (select host, rn, ts_us, 1.0::double as tokens, true as allowed from o where rn = 1 union all select o.host, o.rn, o.ts_us, t.x - (t.x >= 1)::int, t.x >= 1 from f join o on o.host = f.host and o.rn = f.rn + 1, lateral (select least(f.tokens + (o.ts_us - f.ts_us) / 1e6 * (0.02 / 3600.0), 2.0::double) as x) t) "
+       "select host, count(*) filter (allowed) as allowed, count(*) filter (not allowed) as refused from f group by 1")
 def token_bucket(spark, d):
-    return folds.token_bucket(_events(spark, d), ["event_type"], 0.5, 10)
+    """Two tokens a user, refilled at one in fifty hours."""
+    return folds.token_bucket(_events(spark, d), ["host"], 0.02, 2)
+
 
+_FOLD = "with recursive {ev}, o as (select host, ts_us, event_type, row_number() over (partition by host order by ts_us, id) as rn from ev), "
 
-@query("circuit_breaker")
+
+@query("circuit_breaker", _FOLD.format(ev=_EV) + f"f as (select host, rn, 1 as admitted, case when event_type = 'error' then 1 else 0 end as run, null::bigint as until_us, 0 as opened, 0 as refused from o where rn = 1 "
+       f"union all select o.host, o.rn, case when v.shut then 0 else 1 end, case when v.shut then f.run when v.bad and (v.probe or f.run >= 1) then 0 when v.bad then f.run + 1 else 0 end, "
+       f"case when v.shut then f.until_us when v.bad and (v.probe or f.run >= 1) then o.ts_us + {48 * _HOUR} end, case when not v.shut and v.bad and (v.probe or f.run >= 1) then 1 else 0 end, case when v.shut then 1 else 0 end "
+       "from f join o on o.host = f.host and o.rn = f.rn + 1, lateral (select coalesce(o.ts_us < f.until_us, false) as shut, f.until_us is not null as probe, o.event_type = 'error' as bad) v) "
+       "select host, sum(admitted)::bigint as admitted, sum(refused)::bigint as rejected, sum(opened)::bigint as opened from f group by 1")
 def circuit_breaker(spark, d):
     e = _events(spark, d).withColumn("ok", F.col("event_type") != "error")
-    return folds.circuit_breaker(e.withColumn("bucket", F.pmod("host", F.lit(64))), ["bucket"], 2, 48 * _HOUR)
+    return folds.circuit_breaker(e, ["host"], 2, 48 * _HOUR)
+
+
+@query("host_breaker", _FOLD.format(ev=_EV) + f"f as (select host, rn, 1 as admitted, case when event_type = 'error' then 1 else 0 end as run, null::bigint as until_us, 0 as blocked from o where rn = 1 "
+       f"union all select o.host, o.rn, case when v.shut then 0 else 1 end, case when v.shut then f.run else v.run end, case when v.shut then f.until_us when v.run >= 2 then o.ts_us + {96 * _HOUR} end, case when not v.shut and v.run >= 2 then 1 else 0 end "
+       "from f join o on o.host = f.host and o.rn = f.rn + 1, lateral (select coalesce(o.ts_us < f.until_us, false) as shut, case when o.event_type <> 'error' then 0 when f.until_us is not null then 1 else f.run + 1 end as run) v) "
+       "select host, sum(admitted)::bigint as admitted, sum(1 - admitted)::bigint as refused, sum(blocked)::bigint as blocked from f group by 1")
+def host_breaker(spark, d):
+    """Two rate-limit answers in a row shut a host for four days (three and ten minutes by default)."""
+    e = _events(spark, d).withColumn("limited", F.col("event_type") == "error")
+    return folds.host_breaker(e, ["host"], 2, 96 * _HOUR)
 
 
 @query("latency_ema", f"with recursive {_EV}, o as (select host, value, row_number() over (partition by host order by ts_us, id) as rn from ev), f as (select host, rn, value::double as ema from o where rn = 1 union all select o.host, o.rn, 0.2 * o.value + 0.8 * f.ema from f join o on o.host = f.host and o.rn = f.rn + 1) select host, round(arg_max(ema, rn), 4) as ema, max(rn)::int as n from f group by 1")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harrowmill.functions import markup as MK
-from harrowmill.operators import enrich as E, folds, html as H, inference as I, queueing as Q, rules as R, store as St, validate as V, windows as Wn
+from harrowmill.operators import enrich as E, folds, html as H, inference as I, publish as Pb, queueing as Q, rules as R, store as St, validate as V, windows as Wn
 
 RECORD = "id string, source_type string, title string, body string, summary string, author string, category string, tags array<string>, url string, word_count int, published_s bigint, article boolean"
 
@@ -73,10 +73,112 @@ def test_links_and_index_only(spark):
     assert not H.index_only(r.withColumn("published_s", F.lit(1)), H.anchor_figures(p)).first().index_only
 
 
+def sel(**css):
+    return {k: (v, "src" if k == "images" else None, k == "main_content") for k, v in css.items()}
+
+
 def test_extract(spark):
-    p = spark.createDataFrame([("1", PAGE, "h1.hl", "article p", "div.byline"), ("2", PAGE, "h9", "article p", "x")], "id string, html string, title_css string, main_css string, author_css string")
-    a, b = H.extract_pages(p).orderBy("id").collect()
-    assert (a.title, a.author, a.error, b.error) == ("Breaking News Today", "Reporter Kim", None, "parse_failure")
+    page = PAGE.replace("</body>", "<ul class=t><li>one</li><li> </li><li>two</li></ul><img src=/a.png><img></body>")
+    rules = [("1", sel(title="h1.hl", main_content="article p", author="div.byline", tags=".t li", images="img")), ("2", sel(title="h9", main_content="article p")), ("3", sel(title="h1.hl")), ("4", None)]
+    p = spark.createDataFrame([(i, page, r, True, "clash") for i, r in rules], f"id string, html string, selectors {H.SELECTORS}, article boolean, error string")
+    got = H.extract_pages(p).orderBy("id").collect()
+    assert (got[0].title, got[0].author, got[0].tags, got[0].images, got[0].error) == ("Breaking News Today", "Reporter Kim", ["one", "two"], ["/a.png"], None)
+    assert [r.error for r in got[1:]] == ["parse_failure", "empty_selector", "no_rule"] and got[1].tags is None
+    assert H.extract_pages(p.limit(0)).count() == 0
+
+
+def test_list_pages(spark):
+    page = "<div class=i><a href='/n/1#x'>One</a><p>first</p></div><div class=i>no link</div><div class=i><a href=https://o.example/2>Two</a></div>"
+    schema = "id string, url string, html string, container_css string, link_css string, title_css string, snippet_css string"
+    rows = [("1", "https://s.example/l", page, ".i", "a[href]", "a", "p"), ("2", "https://s.example/l", page, ".none", "a[href]", "a", "p"), ("3", "https://s.example/l", page, ".i", "b", "a", "p"), ("4", None, page, None, None, None, None)]
+    got = H.list_items(spark.createDataFrame(rows, schema)).orderBy("id", "pos").collect()
+    assert [(r.id, r.url, r.title, r.snippet, r.error) for r in got] == [
+        ("1", "https://s.example/n/1", "One", "first", None), ("1", "https://o.example/2", "Two", "", None), ("2", None, None, None, "no_container"), ("3", None, None, None, "no_link"), ("4", None, None, None, "no_rule")]
+
+
+def test_links_and_anchor_figures(spark):
+    page = "<body>12345 <a href='/a'>abcde</a> <a href='#x'>skip</a> <a href='//S.example/b'>fg</a> <a href='https://o.example/c'>other</a> <a href='mailto:x@y'>m</a> <a href='/'>root</a></body>"
+    p = spark.createDataFrame([("1", "https://s.example/x", page), ("2", None, None)], "id string, url string, html string")
+    a, b = H.anchor_figures(p).orderBy("id").collect()
+    assert (a.article_links, round(a.link_ratio, 6), b.link_ratio, b.article_links) == (2, round(11 / 32, 6), 0.0, 0)
+    found = H.discovered_links(H.page_links(p), pattern="^https://", excludes=("/b",), prefixes=("/a", "/b"))
+    assert [r.url for r in found.collect()] == ["https://s.example/a"]
+
+
+def test_selector_hits_ask_for_dates(spark):
+    p = spark.createDataFrame([("1", "<time>2024-01-02T03:04:05Z</time>"), ("2", "<time>soon</time>"), ("3", "")], "id string, html string")
+    got = {r.id: r.hits for r in H.selector_hits(p, {"published_at": ("time", None), "title": ("h1", None)}).collect()}
+    assert got == {"1": {"published_at": 1.0, "title": 0.0}, "2": {"published_at": 0.0, "title": 0.0}, "3": {"published_at": 0.0, "title": 0.0}}
+
+
+@pytest.mark.parametrize("pattern, paths, broad", [
+    (r"^/[a-zA-Z]+/\d+$", ["/article/1", "/article/22", "/article/3"], True), (r"^/article/\d+$", ["/article/1", "/article/22", "/article/3"], False),
+    (r"^/article/\d+(/.+)?$", ["/article/1", "/article/2"], True), (r"^(/lang)?/article/\d+$", ["/lang/article/1"], True), (r"^/a", ["/a", "/b/c"], False), ("([", ["/a"], True), (r"^/\d+$", ["/1"], False),
+])
+def test_broad_patterns(spark, pattern, paths, broad):
+    got = I.broad_patterns(spark.createDataFrame([("r", pattern)], "rule_id string, pattern string"), spark.createDataFrame([("r", p) for p in paths], "rule_id string, path string"))
+    assert got.first().broad is broad
+
+
+def test_refiner_cycle(spark):
+    schema = "rule_id int, host_pattern string, path_pattern string, target_type string, version int, enabled boolean, origin string"
+    rules = spark.createDataFrame([(1, "h", "", "page", 1, True, "auto"), (2, "h", r"^/news/(\d+)$", "page", 4, True, "manual"), (3, "g", "", "page", 1, True, "manual"), (4, "k", "", "page", 1, True, "auto")], schema)
+    samples = spark.createDataFrame([(r, f"/news/{k}") for r in (1, 3) for k in range(5)] + [(4, "/a/1"), (4, None)], "rule_id int, path string")
+    insert, purge = I.refine_rules(rules, samples)
+    assert [tuple(r) for r in insert.collect()] == [(1, "h", r"^/news/(\d+)$", "page", 5, True)] and [r.rule_id for r in purge.collect()] == [1]
+
+
+def test_validation_routes(spark):
+    rows = [(True, None, {"n": "5"}, 9), (False, "VAL_001", {"n": "1"}, 0), (False, "VAL_003", {"n": "2"}, 0), (False, "VAL_006", {"n": "-1"}, 2), (False, "VAL_006", {}, 3), (False, "VAL_001", {"n": "x"}, 3)]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, valid boolean, code string, headers map<string,string>, retries int").withColumn("reparses", V.header_count(F.col("headers"), "n"))
+    route = V.validation_route(F.col("valid"), F.col("code"), F.col("reparses"), F.col("retries"))
+    assert [r[0] for r in df.orderBy("k").select(route).collect()] == ["validated", "reparse", "requeue", "requeue", "dead", "reparse"]
+    off = V.validation_route(F.col("valid"), F.col("code"), F.col("reparses"), F.col("retries"), reparse_enabled=False)
+    assert df.filter("k = 5").select(off).first()[0] == "dead"
+    s = V.with_status(V.validated(record(spark, title="short").unionByName(record(spark, id="2")))).orderBy("id").collect()
+    assert [(r.validation_status, r.reject_code, r.reject_detail) for r in s] == [("rejected", "VAL_003", "Title: min_length"), ("passed", None, None)]
+
+
+def test_a_date_is_required_of_articles_by_default(spark):
+    assert rules_of(record(spark, published_s=None), article=False)[0] == ["required"] and rules_of(record(spark, published_s=None, article=None), article=False)[0] == []
+
+
+def test_host_breaker(spark):
+    e = [("h", k, t * 1_000_000, limited) for k, (t, limited) in enumerate([(0, True), (1, True), (2, False), (3, True), (4, True), (5, True), (6, False), (604, True), (605, True), (606, False)])]
+    got = folds.host_breaker(spark.createDataFrame(e, "host string, id int, ts_us bigint, limited boolean"), ["host"]).first()
+    # Shut at 5 s for ten minutes: the call at 605 s, its very end, is let in.
+    assert (got.admitted, got.refused, got.blocked) == (8, 2, 1)
+
+
+def test_publish_chain(spark):
+    rows = [(1, "https://a.example/x/", "article", 0), (2, "http://a.example/x", "article", 86_399), (3, "http://a.example/x", "article", 86_400), (4, "https://a.example/c", "category", 0), (5, "https://a.example/c", "category", 59), (6, "https://a.example/c", "category", 60),
+            (7, "https://a.example/login", "article", 0), (8, "", "article", 0), (9, None, "article", 0), (1, "https://a.example/x/", "article", 0)]
+    req = spark.createDataFrame([(i, "c", u, t, 1, s * 1_000_000) for i, u, t, s in rows], "id int, crawler string, url string, target_type string, priority int, ts_us bigint")
+    jobs = Pb.publish_jobs(req, ["/login"]).orderBy("url", "ts_us").collect()
+    assert [(j.url, j.ts_us // 1_000_000) for j in jobs] == [("https://a.example/c", 0), ("https://a.example/c", 60), ("https://a.example/x", 0), ("https://a.example/x", 86_400)]
+    assert len({j.job_id for j in jobs}) == 4 and {j.topic for j in jobs} == {"crawl.high"} and Pb.publish_jobs(req.limit(0)).count() == 0
+    held = spark.createDataFrame([("a", 1), ("b", 2)], "url string, until_us int")
+    assert [r.url for r in Pb.release(held, held.filter("url = 'a'")).collect()] == ["b"]
+
+
+def test_pending_pushes(spark):
+    e = spark.sql("select 'h' as host, id, timestamp'2024-01-01' + make_interval(0,0,0,0,0,id*7) as arrival from range(50)")
+    got = Pb.pending_pushes(e, ["host"], 20).orderBy("id").collect()
+    assert [r.place for r in got] == list(range(1, 51)) and sum(r.accepted for r in got) == 20
+
+
+@pytest.mark.parametrize("text, found", [('x {"a": {"b": "}"}} {"c": 1}', '{"a": {"b": "}"}}'), ('{"a": "\\"}{"}', '{"a": "\\"}{"}'), ("{ never closed", None), ("none", None), (None, None), ("", None)])
+def test_first_object(spark, text, found):
+    assert spark.createDataFrame([(text,)], "t string").select(E.first_object(F.col("t"))).first()[0] == found
+
+
+def test_due_retries_and_slots(spark):
+    schedule = spark.createDataFrame([(1, 5), (2, 3), (3, 9), (4, 4)], "id int, due_ms int")
+    now = spark.createDataFrame([(5,)], "now_ms int")
+    due, gone = Q.due_retries(schedule, spark.createDataFrame([(1, "x"), (4, "y")], "id int, body string"), now, 10)
+    assert sorted(r.id for r in due.collect()) == [1, 4] and [r.id for r in gone.collect()] == [2]
+    s = spark.createDataFrame([(1, 9), (9, 0), (8, 3), (8, 30), (8, None)], "w int, c int").select(Q.stage_slots(F.col("w"), F.col("c")))
+    assert [r[0] for r in s.collect()] == [1, 4, 3, 4, 4]
 
 
 def test_rules(spark):

@@ -30,6 +30,15 @@ def test_allowed_params(spark):
     assert df.select(U.normalize_url(F.col("u"), allowed_params={"youtube.com": ["v", "T"]})).first()[0] == "https://youtube.com/watch?t=10&v=abc"
 
 
+@pytest.mark.parametrize("query, kept", [
+    ("v=a=b", "v=a%3Db"), ("v=%20x+y&V=1&t=2&v=0", "V=1&t=2&v=+x+y&v=0"), ("v&q=1", "v="), ("v=a~*", "v=a~%2A"), ("v=1;t=2", "v=1;t=2"), ("q=1", ""), ("", ""),
+])
+def test_allowed_params_are_encoded_again(spark, query, kept):
+    df = spark.createDataFrame([(f"https://www.youtube.com/w?{query}",)], "u string")
+    got = df.select(U.normalize_url(F.col("u"), allowed_params={"youtube.com": ["v", "T"]})).first()[0]
+    assert got == "https://www.youtube.com/w" + (f"?{kept}" if kept else "")
+
+
 @pytest.mark.parametrize("url, pattern", [("https://a.b/x.y/1", r"^/x\.y/1$"), ("https://a.b", "^/$")])
 def test_exact_pattern(spark, url, pattern):
     assert spark.createDataFrame([(url,)], "u string").select(U.exact_path_pattern(F.col("u"))).first()[0] == pattern

@@ -52,6 +52,59 @@ def test_variants(spark):
     assert got == {tuple(sorted(p)) for g in GROUPS for p in combinations(g, 2)}
 
 
+def linked(spark, rows, subjects=()):
+    e = spark.createDataFrame(rows, "type string, name string")
+    return {tuple(r) for r in N.variant_pairs(e, spark.createDataFrame([(x,) for x in subjects], "subject string")).collect()}
+
+
+def test_organisations_of_unlisted_kinds(spark):
+    groups = [["Halden Robotics", "Halden Robotics Ltd", "HALDEN ROBOTICS", "Haldan Robotics", "Robotics Halden", "Halden Robotcs Ltd."], ["Aster Pharma", "Aster Pharma Inc", "aster  pharma"], ["Halden Foods"], ["Quorl"], ["Robotics Union Quorl"]]
+    rows = [("org", n) for g in groups for n in g] + [("org", "Halden Robotics")] * 5 + [("person", "Quorl"), ("org", "!!!"), ("org", "x" * 3000)]
+    want = {tuple(sorted(p)) for g in groups for p in combinations([*g, *(["Halden Robotics LTD"] if "Robotics" in g[0] and "Halden" in g[0] else [])], 2)}
+    assert linked(spark, rows, ["Halden Robotics LTD", "Nobody Knows This"]) == want
+
+
+def test_given_names_no_list_knows(spark):
+    groups = [["Kwabena Mensah", "Kwabenna Mensah", "K. Mensah", "Mensah, Kwabena"], ["Priyanka Rao", "Prianka Rao"], ["Oluchi Mensah"], ["Peter Rao"], ["Petra Rao"]]
+    rows = [("person", n) for g in groups for n in g] + [("person", g[0]) for g in groups] * 3
+    assert linked(spark, rows) == {tuple(sorted(p)) for g in groups for p in combinations(g, 2)}
+
+
+def test_chains_are_followed_to_their_end(spark):
+    words = spark.createDataFrame([("b", "abcdef", 9, 1), ("b", "abcdeg", 2, 1), ("b", "abcdhg", 1, 1), ("b", "abkdhg", 1, 0), ("c", "abcdeg", 1, 1)], "block string, word string, strings int, mentions int")
+    assert {tuple(r) for r in N.canonical_words(words).collect()} == {("b", w, "abcdef") for w in ("abcdeg", "abcdhg", "abkdhg")}
+
+
+def held_out_names(seed=4, people=60, firms=40):
+    """Invented names, none of them from a list, with typed variants: typos, order, initials, titles, case, legal forms."""
+    rng = random.Random(seed)
+    word = lambda n: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(n)).capitalize()
+
+    def typo(w):
+        k = rng.randrange(1, len(w) - 1)
+        return rng.choice([w[:k] + w[k + 1 :], w[:k] + rng.choice("aeiou") + w[k:], w[:k] + w[k + 1] + w[k] + w[k + 2 :], w[:k] + rng.choice("xyzq") + w[k + 1 :]])
+
+    groups = []
+    for _ in range(people):
+        g, s = word(3), word(4)
+        groups.append(("person", [f"{g} {s}", f"{s}, {g}", f"{g[0]}. {s}", f"{g} {s}".upper(), f"Dr. {g} {s}", f"{typo(g)} {s}", f"{g} {typo(s)}"]))
+    kinds = ["Robotics", "Pharma", "Logistics", "Dynamics", "Biotech", "Software", "Partners", "Minerals"]
+    for _ in range(firms):
+        w, k = word(4), rng.choice(kinds)
+        groups.append(("org", [f"{w} {k}", f"{w} {k} Ltd", f"{w} {k}".upper(), f"{typo(w)} {k}", f"{w} {typo(k)}", f"{w} {k} Inc."]))
+    return groups
+
+
+def test_held_out_names(spark):
+    groups = held_out_names()
+    rows = [(t, n) for t, g in groups for n in g] + [(t, g[0]) for t, g in groups] * 3
+    got = linked(spark, rows)
+    want = {tuple(sorted(p)) for _, g in groups for p in combinations(sorted(set(g)), 2)}
+    recall, precision = len(got & want) / len(want), len(got & want) / len(got)
+    print("held-out names: recall", round(recall, 3), "precision", round(precision, 3))
+    assert recall >= 0.9 and precision >= 0.97
+
+
 def test_no_names(spark):
     assert N.variant_pairs(spark.createDataFrame([], "type string, name string"), spark.createDataFrame([], "subject string")).count() == 0
 
@@ -164,6 +217,38 @@ def test_leaks_equal_brute_force(spark):
     assert L.leaked_documents(df.limit(0), it).count() == 0 and L.leaked_documents(df, it.limit(0)).count() == 0
 
 
+def test_tasks_without_passages(spark):
+    """Documents without any item word, in more tasks than documents that hold some; more items than a block takes."""
+    items = spark.createDataFrame([(i, " ".join(f"k{i}x{j}" for j in range(20))) for i in range(5)], "item_id bigint, text string")
+    rows = [(d, " ".join(f"z{d}y{j}" for j in range(40))) for d in range(50)] + [(50 + i, "so " + " ".join(f"k{i}x{j}" for j in range(3, 17)) + " it was") for i in (0, 4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(13)
+    for most in (2000, 2):
+        assert {tuple(r) for r in L.leaked_documents(docs, items, max_items=most).collect()} == {(50, 0), (54, 4)}
+    assert L.leaked_documents(docs.filter("doc_id < 50"), items).count() == 0
+    assert {tuple(r) for r in L.leaked_documents(docs, items, fit_passages=1).collect()} == {(50, 0), (54, 4)}
+
+
+def test_recall_of_planted_paraphrases(spark):
+    """Windows of items with words left out, put in or replaced, inside other text: nine in ten are found; short items too."""
+    rng = random.Random(21)
+    vocab = [f"w{i}" for i in range(600)]
+    items = [(i, " ".join(rng.sample(vocab, 30))) for i in range(40)] + [(90, " ".join(rng.sample(vocab, 8)))]
+    docs, planted = [], set()
+    for d in range(200):
+        t = [rng.choice(vocab) if rng.random() < 0.15 else f"z{rng.randrange(2000)}" for _ in range(70)]
+        i, text = items[d % 41]
+        w = text.split()
+        w = w[6:18] if len(w) > 12 else w
+        for k in rng.sample(range(1, len(w) - 1), 2):
+            w[k] = f"z{rng.randrange(2000)}"
+        p = rng.randrange(0, 60)
+        docs.append((d, " ".join([*t[:p], *w, *t[p:]])))
+        planted.add((d, i))
+    got = {(r.doc_id, r.item_id) for r in L.paraphrased_documents(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), keys=0.0).collect()}
+    print("planted paraphrases: recall", round(len(got & planted) / len(planted), 3), "others", len(got - planted))
+    assert len(got & planted) >= 0.9 * len(planted)
+
+
 def test_paraphrases_inside_other_text(spark):
     rng = random.Random(9)
     vocab = [f"w{i}" for i in range(400)]

@@ -35,7 +35,8 @@ def stream_dedup(spark, d):
     return S.run_to_end(S.ttl_dedup_stream(_events(spark, d), 24 * _HOUR), "dedup").select("id")
 
 
-@query("stream_release")
+@query("stream_release", f"with recursive {_EV}, o as (select host, ts_us, id, event_type = 'signup' as freed, row_number() over (partition by host order by ts_us, id) as rn from ev), f as (select host, rn, id, case when not freed then ts_us end as last, not freed as accepted from o where rn = 1 "
+       f"union all select o.host, o.rn, o.id, case when o.freed then null when f.last is null or o.ts_us >= f.last + {24 * _HOUR} then o.ts_us else f.last end, not o.freed and (f.last is null or o.ts_us >= f.last + {24 * _HOUR}) from f join o on o.host = f.host and o.rn = f.rn + 1) select id from f where accepted")
 def stream_release(spark, d):
     e = _events(spark, d).withColumn("kind", F.when(F.col("kind") == "signup", "release").otherwise(F.col("kind")))
     return S.run_to_end(S.ttl_dedup_stream(e, 24 * _HOUR), "release").select("id")
@@ -59,4 +60,17 @@ def stream_priority_intake(spark, d):
     return S.run_to_end(r.select(F.col("delivery_id").alias("id"), Q.priority_of((F.length("id") % 4).cast("string")).alias("priority")), "intake")
 
 
+@query("stream_upsert", "select url, arg_max(id, (created_at, id)) as id, count(*)::bigint as seen from raw_contents where url is not null group by 1")
+def stream_upsert(spark, d):
+    """Pages arriving in batches merged into a store by url: the latest id, and how often the page came."""
+    schema = table(spark, d, "raw_contents").schema
+    pages = S.event_stream(spark, d, "raw_contents.parquet", schema).filter("url is not null").select("url", "id", "created_at", F.lit(1).cast("bigint").alias("seen"))
+
+    def merge(batch, store):
+        rows = batch if store is None else store.unionByName(batch)
+        return rows.groupBy("url").agg(F.max(F.struct("created_at", "id")).alias("m"), F.sum("seen").alias("seen")).select("url", "m.id", "m.created_at", "seen")
+
+    return S.store_stream(pages, merge, "pages").select("url", "id", "seen")
+
+
 QUERIES, SQL = query.queries, query.sql

@@ -35,7 +35,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     setting this raises, because executors would not share the files.
     """
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
+    if context.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:

@@ -120,3 +120,10 @@ def test_found_instants(spark):
     r = spark.createDataFrame([("r1", "1700000000000", '{"node_tz": "UTC"}', ("US",))], "id string, fetched_at string, metadata string, source struct<country:string>")
     s = spark.createDataFrame([("s", "UTC", "US"), ("s", "UTC", "US")], "source_id string, timezone string, country string")
     assert sorted(map(tuple, T.found_instants(c, r, s).collect())) == [("contents", "c2", ms(2024, 1, 1)), ("raw_contents", "r1", 1700000000000)]
+
+
+def test_instants_before_1970(spark):
+    """Zone intervals reach as far back as the parser does; nothing is lost for its age."""
+    rows = [(1, "1965-07-01T10:00:00", "Europe/Paris", "FR"), (2, "1912-01-01T12:00:00", "UTC", "FR"), (3, "1899-01-01T12:00:00", "UTC", "FR")]
+    got = T.normalize_timestamps(spark.createDataFrame(rows, "k int, text string, zone string, country string")).orderBy("k").collect()
+    assert [(r.epoch_ms, r.status) for r in got] == [(-142_095_600_000, "exact"), (-1_830_340_800_000, "exact"), (None, "unreadable")]

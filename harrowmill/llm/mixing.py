@@ -23,14 +23,13 @@ from pyspark.sql import functions as F
 
 from harrowmill.session import cut_lineage
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Splitting pattern of the tokenizer.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCK, FAN_IN = 20_000, 500
 _EPS = 1e-9
 
 
-def token_sizes(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+def token_sizes(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, source, tokens) of documents with id, source and text; the vocabulary (under 1 MB) is sent to the workers."""
     with open(tokenizer, "rb") as f:
         vocabulary = f.read()
@@ -134,7 +133,7 @@ def _land(rest: list[tuple[int, str, int, int, float]]) -> list[tuple[int, str,
     return out
 
 
-def mixture(docs: DataFrame, targets: DataFrame, *, tokenizer: str = TOKENIZER, seed: int = 17) -> DataFrame:
+def mixture(docs: DataFrame, targets: DataFrame, *, tokenizer: str, seed: int = 17) -> DataFrame:
     """(doc_id, source, tokens, copies) of documents in the mixture.
 
     Sources without target, documents without text and targets without documents take no part; documents given twice

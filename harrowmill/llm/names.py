@@ -106,6 +106,23 @@ def _correct(word: str, index: dict[str, list[str]]) -> str | None:
     return None
 
 
+class Kinds:
+    """Words for kinds of organisation that the corpus has shown, with an index of their misspellings; plain data for the workers."""
+
+    def __init__(self, words: list[str]):
+        self.words = frozenset(words)
+        self.near = _near_index([w for w in words if len(w) >= 5])
+
+    def word(self, t: str) -> str | None:
+        for x in (t, t.removesuffix("s")):
+            if x in self.words:
+                return x
+        return _correct(t, self.near) if len(t) >= 5 else None
+
+
+NO_KINDS = Kinds([])
+
+
 def organisation_word(token: str) -> str | None:
     t = token.rstrip(".").replace("'", "").replace("’", "")
     if t in _SHORT:
@@ -140,8 +157,11 @@ def is_given(token: str) -> bool:
     return t in NICKNAMES or t in _NICK or (len(t) >= 5 and _correct(t, _NEAR_GIVEN) is not None)
 
 
-def parse_organisation(name: str) -> tuple[str, str, str, str] | None:
-    """(head, full or part, signature, initial) of an organisation; None if the name has no word for a kind."""
+def parse_organisation(name: str, kinds_seen: Kinds = NO_KINDS) -> tuple[str, str, str, str] | None:
+    """(head, full or part, signature, initial) of an organisation; None if the name has no word for a kind.
+
+    kinds_seen: words for kinds beside the listed ones.
+    """
     split = re.sub(r"(?<=[a-zà-ÿ])(?=[A-ZÀ-Þ][a-zà-ÿ]{2,})", " ", name)
     raw = re.findall(r"(?:[^\W\d_]\.){2,}|[^\W\d_]+(?:['’][^\W\d_]+)*\.?", split)
     kinds, heads, acronym, part = [], [], "", False
@@ -154,7 +174,7 @@ def parse_organisation(name: str) -> tuple[str, str, str, str] | None:
         if re.fullmatch(r"(?:[^\W\d_]\.){2,}", token) or (mixed and token.isupper() and 2 <= len(bare) <= 4 and bare not in _SHORT):
             acronym = bare
             continue
-        k = organisation_word(f)
+        k = organisation_word(f) or kinds_seen.word(bare)
         if k:
             if k not in LEGAL:
                 kinds.append(k)
@@ -219,7 +239,35 @@ def looks_personal(name: str) -> bool:
 PARSED = "name string, kind string, head string, form string, sig string, initial string, middle string, nick string, n bigint, whole string"
 
 
-def parsed_names(names: DataFrame) -> DataFrame:
+#: Different companions a word needs to be taken for a kind, and share of its names in which it has the most of all words.
+KIND_PARTNERS, KIND_SHARE = 30, 0.75
+
+
+def learned_kinds(names: DataFrame, most: int = 2000) -> Kinds:
+    """Words that stand beside many different words in names(name, type) of organisations, as words for a kind do.
+
+    A proper word has few companions, a kind as many as there are organisations of it.  The `most` words with the most
+    companions are sent to all tasks; names with other words are taken as sets of words.
+    """
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = set()
+            for name in b["name"]:
+                w = sorted(set(whole_name(name).split()))
+                if 2 <= len(w) <= 6:
+                    out |= {(x, y) for x in w for y in w if x != y and len(x) >= 3 and not _SHORT.get(x)}
+            yield pd.DataFrame(sorted(out), columns=["word", "other"])
+
+    pairs = names.filter(F.col("type") == "org").mapInPandas(cut, "word string, other string").distinct()
+    many = pairs.groupBy("word").agg(F.count("*").alias("n"))
+    other = many.select(F.col("word").alias("other"), F.col("n").alias("m"))
+    ahead = pairs.join(many.filter(F.col("n") >= KIND_PARTNERS), "word").join(other, "other", "left").groupBy("word", "n").agg(F.avg((F.coalesce("m", F.lit(0)) < F.col("n")).cast("double")).alias("share"))
+    kinds = ahead.filter(F.col("share") >= KIND_SHARE).orderBy(F.desc("n"), "word").limit(most)
+    return Kinds(sorted(r["word"] for r in kinds.collect()))
+
+
+def parsed_names(names: DataFrame, kinds_seen: Kinds = NO_KINDS) -> DataFrame:
     """names(name, type, n) -> PARSED.
 
     Every string stated as a person or organisation that holds a letter or digit has a row; of the others those that
@@ -237,7 +285,7 @@ def parsed_names(names: DataFrame) -> DataFrame:
                     kind = "person"
                 whole = None if stated else whole_name(name)
                 if kind != "person":
-                    o = parse_organisation(name)
+                    o = parse_organisation(name, kinds_seen)
                     if o:
                         out.append((name, "O", *o, "", "", n, None))
                         continue
@@ -440,7 +488,8 @@ def entity_names(entities: DataFrame, claims: DataFrame) -> DataFrame:
     spaces or accents only share a key.  A short form that fits several full names goes to the one with the same middle
     initial, else to the most mentioned one (ties by the alphabet); one that fits none is an entity of its own.
     """
-    parsed = cut_lineage(parsed_names(collected_names(entities, claims)))
+    strings = cut_lineage(collected_names(entities, claims))
+    parsed = cut_lineage(parsed_names(strings, learned_kinds(strings)))
     listed = parsed.sparkSession.createDataFrame([(w,) for w in sorted({*NICKNAMES, *_NICK})], "word string")
     fixed = canonical_heads(parsed)
     rows = parsed.join(fixed, ["kind", "initial", "head"], "left").join(canonical_wholes(parsed).withColumnRenamed("canon", "put_right"), ["kind", "head"], "left")
@@ -489,8 +538,15 @@ def entity_names(entities: DataFrame, claims: DataFrame) -> DataFrame:
 
 
 def variant_pairs(entities: DataFrame, claims: DataFrame) -> DataFrame:
-    """(name_a, name_b): all pairs of different strings that mean one person or organisation, name_a < name_b."""
+    """(name_a, name_b): all pairs of different strings that mean one person or organisation, name_a < name_b.
+
+    The pairs of one entity are spread over SALTS tasks by their first name.
+    """
     known = cut_lineage(entity_names(entities, claims))
-    a = known.select("entity", F.col("name").alias("name_a"))
-    b = known.select("entity", F.col("name").alias("name_b"))
-    return a.join(b, "entity").filter(F.col("name_a") < F.col("name_b")).select("name_a", "name_b").distinct()
+    a = known.select("entity", F.col("name").alias("name_a"), F.pmod(F.xxhash64("name"), F.lit(SALTS)).cast("int").alias("salt"))
+    b = known.select("entity", F.col("name").alias("name_b"), F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt"))
+    return a.join(b, ["entity", "salt"]).filter(F.col("name_a") < F.col("name_b")).select("name_a", "name_b").distinct()
+
+
+#: Tasks that share the pairs of one entity.
+SALTS = 8

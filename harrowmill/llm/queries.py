@@ -11,6 +11,9 @@ from harrowmill.llm import boilerplate, encoding, leakage, mixing, names, readin
 from harrowmill.session import cut_lineage
 from harrowmill.sources.tables import table
 
+#: Vocabulary file of the public tokenizer that p9 counts tokens with.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = residue.residue(table(spark, sf_dir, "contents"), table(spark, sf_dir, "raw_contents"))
@@ -84,11 +87,11 @@ def p8_paraphrased(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), tokenizer=TOKENIZER)
 
 
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixture_shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+    return mixing.mixture_shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), tokenizer=TOKENIZER)
 
 
 def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from harrowmill.llm import encoding as E, leakage as L, mixing as X, names as N, reading as G
+from harrowmill.llm.queries import TOKENIZER
 from harrowmill.llm.text import words
 
 # --- names -------------------------------------------------------------------------------------------------------
@@ -105,6 +106,15 @@ def test_held_out_names(spark):
     assert recall >= 0.9 and precision >= 0.97
 
 
+def test_kinds_are_learnt_from_their_companions(spark):
+    """A word beside forty proper words is a kind, with which names can be misspelt and turned; a proper word beside two is not."""
+    heads = [w for t, g in held_out_names(8, 0, 40) for w in [g[0].split()[0]]]
+    names = [(f"{h} Robotics", "org") for h in heads] + [(f"{heads[0]} Pharma", "org"), (f"{heads[0]} Foods", "org")]
+    kinds = N.learned_kinds(spark.createDataFrame(names, "name string, type string"))
+    assert kinds.words == {"robotics"} and kinds.word("robtics") == "robotics"
+    assert N.parse_organisation(f"Robotics {heads[0]}", kinds) == N.parse_organisation(f"{heads[0]} Robtics Ltd", kinds) != None  # noqa: E711
+
+
 def test_no_names(spark):
     assert N.variant_pairs(spark.createDataFrame([], "type string, name string"), spark.createDataFrame([], "subject string")).count() == 0
 
@@ -292,7 +302,7 @@ def test_flight_keeps_the_balance(units, seed):
     assert sum(out) == pytest.approx(sum(pi), abs=1e-4) and sum(a * b for a, b in zip(out, size)) == pytest.approx(sum(a * b for a, b in zip(pi, size)), abs=1e-2)
 
 
-@pytest.mark.skipif(not Path(X.TOKENIZER).exists(), reason="the tokenizer is not here")
+@pytest.mark.skipif(not Path(TOKENIZER).exists(), reason="the tokenizer is not here")
 def test_mixture(spark, monkeypatch):
     monkeypatch.setattr(X, "BLOCK", 40)
     monkeypatch.setattr(X, "FAN_IN", 2)
@@ -300,11 +310,11 @@ def test_mixture(spark, monkeypatch):
     rows = [(i, rng.choice("aaaabc"), "word " * rng.randint(1, 60)) for i in range(900)] + [(1000, None, "x"), (1001, "a", None), (1002, "z", "x"), (0, "a", ""), (0, "a", "word " * 10)]
     docs = spark.createDataFrame([(*r, 5) for r in rows], "doc_id bigint, source string, text string, copies int")
     targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.3, 3), ("c", 0.1, 2), ("none", 0.1, 4), (None, 0.1, 1)], "source string, target_share double, max_repeats int")
-    s = {r.source: r for r in X.mixture_shares(docs, targets).collect()}
+    s = {r.source: r for r in X.mixture_shares(docs, targets, tokenizer=TOKENIZER).collect()}
     for k, share in (("a", 0.5 / 0.9), ("b", 0.3 / 0.9), ("c", 0.1 / 0.9)):
         assert s[k].actual_share == pytest.approx(share, abs=0.004) and s[k].most_copies <= s[k].max_repeats
     assert s["none"].actual_share == 0 and set(s) == {"a", "b", "c", "none"}
-    assert X.mixture(docs.limit(0), targets).count() == 0 and X.mixture(docs, targets.limit(0)).count() == 0
+    assert X.mixture(docs.limit(0), targets, tokenizer=TOKENIZER).count() == 0 and X.mixture(docs, targets.limit(0), tokenizer=TOKENIZER).count() == 0
 
 
 # --- reading level -----------------------------------------------------------------------------------------------

@@ -153,3 +153,8 @@ def error_class(status: Column, message: Column) -> Column:
 def may_delegate(kind: Column) -> Column:
     """Another provider may succeed wherever the request itself is not at fault."""
     return kind != "bad_request"
+
+
+def to_persist(cascaded: DataFrame, score: str = "trust_score") -> DataFrame:
+    """Records whose cascade reached a score; the others are forwarded without being stored."""
+    return cascaded.filter(F.col(score).isNotNull())

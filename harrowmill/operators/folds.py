@@ -123,12 +123,18 @@ def host_breaker(events: DataFrame, keys: list[str], hits: int = 3, cooldown_us:
     return walk(events, keys, ["ts_us", "id", "limited"], schema, fresh, step, lambda s: [(s["admitted"], s["refused"], s["blocked"])])
 
 
-def smoothed(events: DataFrame, keys: list[str], value: str, alpha: float = 0.2) -> DataFrame:
-    """(keys, ema, n): exponential moving average in event order, the first sample is the seed."""
+def smoothed(events: DataFrame, keys: list[str], value: str, alpha: float = 0.2, failed: str | None = None) -> DataFrame:
+    """(keys, ema, n, failures, failure_rate): exponential moving average in event order, the first sample is the seed.
+
+    failed: a boolean column; without one no event has failed.
+    """
 
     def step(state: dict, row: tuple) -> None:
         v = float(row[2])
         state["ema"] = v if state["n"] == 0 else alpha * v + (1 - alpha) * state["ema"]
         state["n"] += 1
+        state["failures"] += bool(failed and row[3])
 
-    return walk(events, keys, ["ts_us", "id", value], _with_keys(events, keys, "ema double, n int"), lambda: {"ema": None, "n": 0}, step, lambda s: [(s["ema"], s["n"])])
+    schema = _with_keys(events, keys, "ema double, n int, failures int, failure_rate double")
+    fresh = lambda: {"ema": None, "n": 0, "failures": 0}
+    return walk(events, keys, ["ts_us", "id", value, *([failed] if failed else [])], schema, fresh, step, lambda s: [(s["ema"], s["n"], s["failures"], s["failures"] / s["n"])])

@@ -91,3 +91,19 @@ def provider_order(providers: DataFrame, request: str, *order: Column | str) ->
 def first_of(rows: DataFrame, keys: list[str], most: int, *order: Column | str) -> DataFrame:
     """The first `most` rows of each key with their rank; rows beyond are cut within each task before they meet."""
     return rows.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= most)
+
+
+def republished(due: DataFrame, failed: DataFrame, now_ms: Column, wait_ms: int) -> tuple[DataFrame, DataFrame]:
+    """(messages to publish, schedule after the round) of due(id, due_ms, attempts).
+
+    At least once: an entry is taken off the schedule only after its publication; those in failed(id) stay, later by
+    wait_ms for each attempt.
+    """
+    bad = due.join(failed.select("id").distinct(), "id", "left_semi")
+    later = bad.select("id", (now_ms + wait_ms * (F.col("attempts") + 1)).cast("bigint").alias("due_ms"), (F.col("attempts") + 1).alias("attempts"))
+    return due, later
+
+
+def intake(messages: DataFrame, cap: int) -> DataFrame:
+    """messages(id, priority, arrival_ms) -> the queue after it took them: blank ids are dropped, then as push_capped."""
+    return push_capped(messages.filter(F.coalesce("id", F.lit("")) != ""), cap)

@@ -36,6 +36,13 @@ def store_raw(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return stored.unionByName(fresh.join(keep, ["url", "id"], "left_semi").dropDuplicates(["url"]))
 
 
+def store_outcome(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """batch(id, url) -> (id, url, stored_id, duplicate): the id each page is stored under, its own or that of an earlier page with its url."""
+    first = batch.groupBy("url").agg(F.min("id").alias("_new"))
+    known = first.join(stored.groupBy("url").agg(F.min("id").alias("_old")), "url", "left").select("url", F.coalesce("_old", "_new").alias("stored_id"))
+    return batch.join(known, "url").select("id", "url", "stored_id", (F.col("id") != F.col("stored_id")).alias("duplicate"))
+
+
 #: Columns that the incoming row overwrites when the hash differs; all others keep their first value.
 OVERWRITTEN = ["title", "author", "updated_at", "category", "tags", "canonical_url", "content_hash", "reliability"]
 

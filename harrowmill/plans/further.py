@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from harrowmill.functions import urls as U
+from harrowmill.functions.datetimes import ntz_micros
 from harrowmill.operators import enrich as E, html as H, inference as I, publish as Pb, queueing as Q, store as St, windows as Wn
 from harrowmill.plans import fixtures as X
 from harrowmill.plans.reading import _BEST_BLACK, _BLACK, _HOST, _PAGES, _PATH, _pages
@@ -78,9 +79,13 @@ def queue_lengths(spark, d):
     return _jobs(spark, d).groupBy(Q.priority_of(F.col("priority")).alias("priority")).agg(F.count_distinct("id").alias("n"))
 
 
-@query("priority_intake", "select count(*) as kept, count(distinct id) as ids from content_refs where id is not null and id <> ''")
+@query("priority_intake", "with m as (select id, case when length(topic) % 4 between 1 and 3 then length(topic) % 4 else 2 end as p, epoch_ms(delivered_at) as ms, length(topic) % 4 as raw from content_refs where id <> ''), "
+       "l as (select id, arg_max(struct_pack(p := p, ms := ms), (ms, raw::varchar)) as e from m group by 1) select id, e.p * 10000000000000 + e.ms as score from l order by score, id limit 500")
 def priority_intake(spark, d):
-    return table(spark, d, "content_refs").filter(F.coalesce("id", F.lit("")) != "").agg(F.count("*").alias("kept"), F.count_distinct("id").alias("ids"))
+    """Deliveries pushed to a queue of five hundred: those without id are dropped, the last push of an id counts."""
+    r = table(spark, d, "content_refs")
+    m = r.select("id", (F.length("topic") % 4).cast("string").alias("priority"), F.floor(ntz_micros("delivered_at") / 1000).alias("arrival_ms"))
+    return Q.intake(m, 500)
 
 
 @query("pending_queue", "select source_id, id, row_number() over (partition by source_id order by created_at, id) as place, row_number() over (partition by source_id order by created_at, id) <= 30 as accepted from contents where created_at is not null")
@@ -107,10 +112,31 @@ def header_codec(spark, d):
     return r.select("id", text.alias("entries"), F.size(back).alias("n"))
 
 
-@query("sample_accumulate", f"with s as (select source_id, url, min(created_at) as t from contents group by all) select source_id, count(*) as n from (select *, row_number() over (partition by source_id order by t, url) as rn from s) where rn <= 100 group by 1")
+@query("sample_accumulate", f"with auto as (select source_id from sources where requests_per_hour is not null), s as (select source_id, url, min(created_at) as t from contents join auto using (source_id) where not coalesce(article, false) group by all) "
+       "select source_id, count(*) as n from (select *, row_number() over (partition by source_id order by t, url) as rn from s) where rn <= 100 group by 1")
 def sample_accumulate(spark, d):
-    s = table(spark, d, "contents").groupBy("source_id", "url").agg(F.min("created_at").alias("t"))
-    return s.withColumn("rn", F.row_number().over(W.partitionBy("source_id").orderBy("t", "url"))).filter("rn <= 100").groupBy("source_id").agg(F.count("*").alias("n"))
+    """Samples gather only under automatic catch-all rules (here: of sources with a rate, for pages that are no articles)."""
+    auto = table(spark, d, "sources").filter("requests_per_hour is not null").select("source_id")
+    c = table(spark, d, "contents").filter(~F.coalesce("article", F.lit(False))).join(auto, "source_id", "left_semi")
+    s = c.groupBy("source_id", "url").agg(F.min("created_at").alias("t"))
+    return Q.first_of(s, ["source_id"], 100, "t", "url").groupBy("source_id").agg(F.count("*").alias("n"))
+
+
+@query("host_fallbacks", f"select id, {_HOST} as host, case when {_HOST} = '' then url else {_HOST} end as host_or_url, case when {_HOST} = '' then '_unknown_' else {_HOST} end as host_or_unknown from (select id, case when word_count % 5 = 0 then '/relative/' || id when word_count % 5 = 1 then replace(url, '.example/', '.example:8080/') else url end as url from contents where url is not null)")
+def host_fallbacks(spark, d):
+    """Hosts of absolute urls, with a port and of relative ones, by each fallback."""
+    n, u = F.col("word_count"), F.col("url")
+    asked = F.when(n % 5 == 0, F.concat(F.lit("/relative/"), "id")).when(n % 5 == 1, F.replace(u, F.lit(".example/"), F.lit(".example:8080/"))).otherwise(u)
+    c = table(spark, d, "contents").filter("url is not null").select("id", asked.alias("url"))
+    return c.select("id", U.url_hostname(u).alias("host"), U.host_or_url(u).alias("host_or_url"), U.host_or_unknown(u).alias("host_or_unknown"))
+
+
+@query("backoff_jitter")
+def backoff_jitter(spark, d):
+    """Waits with a jitter factor of 0.5 to 1.5 stay within half and one and a half times the plain wait."""
+    n = F.col("l_linenumber")
+    plain, wide = Q.backoff_seconds(n, 2.0, 2.0, 60.0), Q.backoff_seconds(n, 2.0, 2.0, 60.0, jitter=0.5, seed=3)
+    return table(spark, d, "lineitem").filter("l_returnflag = 'R'").select("l_orderkey", n, ((wide >= plain * 0.5) & (wide <= plain * 1.5)).alias("within"))
 
 
 @query("samples_list", "select source_id, url from (select source_id, url, row_number() over (partition by source_id order by created_at desc, url) as rn from contents) where rn <= 3")

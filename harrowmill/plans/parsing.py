@@ -308,13 +308,17 @@ def classify_batch(spark, d):
     return c.select("source_id", "day", "total", F.array_join(F.transform("l", lambda x: x["p"]), "|").alias("previews"))
 
 
-@query("enrich_cascade", "with e as (select content_id, count(*) as n from entities group by 1), c as (select content_id, count(*) as n from claims where claim_idx > 0 group by 1) select id, e.n as entities, c.n as more_claims, e.n is not null and c.n is not null as complete from contents left join e on e.content_id = id left join c on c.content_id = id")
+@query("enrich_cascade", "with e as (select content_id, count(*) as n from entities group by 1), c as (select content_id, count(*) as n from claims where claim_idx > 0 group by 1), s as (select content_id, (min(claim_id) % 10) / 10.0::double as v from claims where predicate is not null group by 1) "
+       "select id, e.n as entities, c.n as more_claims, s.v as trust_score from contents join s on s.content_id = id left join e on e.content_id = id left join c on c.content_id = id")
 def enrich_cascade(spark, d):
+    """Stages whose output may be missing; only records that got a score are stored."""
     e = table(spark, d, "entities").groupBy("content_id").agg(F.count("*").alias("value"))
-    c = table(spark, d, "claims").filter("claim_idx > 0").groupBy("content_id").agg(F.count("*").alias("value"))
+    k = table(spark, d, "claims")
+    c = k.filter("claim_idx > 0").groupBy("content_id").agg(F.count("*").alias("value"))
+    s = k.filter("predicate is not null").groupBy("content_id").agg((F.min("claim_id") % 10 / 10.0).alias("value"))
     base = table(spark, d, "contents").select(F.col("id").alias("content_id"))
-    out = E.cascade(base, [("entities", e), ("more_claims", c)])
-    return out.select(F.col("content_id").alias("id"), "entities", "more_claims", (F.col("entities").isNotNull() & F.col("more_claims").isNotNull()).alias("complete"))
+    out = E.to_persist(E.cascade(base, [("entities", e), ("more_claims", c), ("trust_score", s)]))
+    return out.select(F.col("content_id").alias("id"), "entities", "more_claims", "trust_score")
 
 
 QUERIES, SQL = query.queries, query.sql

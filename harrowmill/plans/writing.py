@@ -446,9 +446,27 @@ def host_breaker(spark, d):
     return folds.host_breaker(e, ["host"], 2, 96 * _HOUR)
 
 
-@query("latency_ema", f"with recursive {_EV}, o as (select host, value, row_number() over (partition by host order by ts_us, id) as rn from ev), f as (select host, rn, value::double as ema from o where rn = 1 union all select o.host, o.rn, 0.2 * o.value + 0.8 * f.ema from f join o on o.host = f.host and o.rn = f.rn + 1) select host, round(arg_max(ema, rn), 4) as ema, max(rn)::int as n from f group by 1")
+@query("latency_ema", f"with recursive {_EV}, o as (select host, value, event_type, row_number() over (partition by host order by ts_us, id) as rn from ev), f as (select host, rn, value::double as ema, (event_type = 'error')::int as bad from o where rn = 1 "
+       "union all select o.host, o.rn, 0.2 * o.value + 0.8 * f.ema, f.bad + (o.event_type = 'error')::int from f join o on o.host = f.host and o.rn = f.rn + 1) select host, round(arg_max(ema, rn), 4) as ema, max(rn)::int as n, max(bad)::int as failures, round(max(bad)::double / max(rn), 6) as failure_rate from f group by 1")
 def latency_ema(spark, d):
-    return folds.smoothed(_events(spark, d), ["host"], "value").select("host", F.round("ema", 4).alias("ema"), "n")
+    e = _events(spark, d).withColumn("failed", F.col("event_type") == "error")
+    return folds.smoothed(e, ["host"], "value", failed="failed").select("host", F.round("ema", 4).alias("ema"), "n", "failures", F.round("failure_rate", 6).alias("failure_rate"))
+
+
+@query("raw_outcome", f"with s as (select id, url from raw_contents where {_HALF}), b as (select id, url from raw_contents where not {_HALF} and url is not null) "
+       "select id, url, coalesce((select min(s.id) from s where s.url = b.url), min(id) over (partition by url)) as stored_id, id <> coalesce((select min(s.id) from s where s.url = b.url), min(id) over (partition by url)) as duplicate from b")
+def raw_outcome(spark, d):
+    """The id each page of a batch is stored under."""
+    r = table(spark, d, "raw_contents").select("id", "url")
+    half = F.ascii(F.substring("id", -1, 1)) % 2 == 0
+    return St.store_outcome(r.filter(~half), r.filter(half))
+
+
+@query("retry_republish", f"with {_JOBS}, due as (select id, ms, (id % 3)::int as attempts from jobs where p = 1 order by ms, id limit 200) select id, 1800000000000 + 5000 * (attempts + 1) as due_ms, attempts + 1 as attempts from due where id % 4 = 0")
+def retry_republish(spark, d):
+    """The schedule after a round in which every fourth publication failed."""
+    due = _jobs(spark, d).filter("priority = '1'").orderBy("arrival_ms", "id").limit(200).select("id", F.col("arrival_ms").alias("due_ms"), (F.col("id") % 3).cast("int").alias("attempts"))
+    return Q.republished(due, due.filter("id % 4 = 0"), F.lit(1_800_000_000_000), 5000)[1]
 
 
 QUERIES, SQL = query.queries, query.sql

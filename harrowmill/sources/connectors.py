@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+_CHARSET = re.compile(r"charset\s*=\s*[\"']?\s*([A-Za-z0-9_.:\-]+)", re.I)
 HEADERS = "array<struct<key:string,value:binary>>"
 
 
@@ -34,6 +37,40 @@ def publish(messages: DataFrame, servers: str, checkpoint: str):
     return out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("checkpointLocation", checkpoint)
 
 
+def first_header(entries, name: str):
+    """First value of a response header in array<struct<key,value>>, its name in any case; null without one."""
+    hit = F.filter(entries, lambda h: F.lower(h["key"]) == name.lower())
+    return F.try_element_at(F.transform(hit, lambda h: h["value"]), F.lit(1))
+
+
+def page_text(body, content_type):
+    """Bytes of a response as text: by the charset of the content type, else that of the page's head, else UTF-8.
+
+    Unknown charsets are read as UTF-8; bytes that do not fit become U+FFFD.
+    """
+
+    @F.pandas_udf("string")
+    def decode(data: pd.Series, kind: pd.Series) -> pd.Series:
+        def one(d: bytes | None, k: str | None) -> str | None:
+            if d is None:
+                return None
+            named = _CHARSET.search(k or "") or _CHARSET.search(d[:2048].decode("latin-1"))
+            try:
+                return d.decode(named.group(1) if named else "utf-8", "replace")
+            except LookupError:
+                return d.decode("utf-8", "replace")
+
+        return pd.Series([one(d, k) for d, k in zip(data, kind)], dtype=object)
+
+    return decode(body, content_type)
+
+
+def observed(df: DataFrame, name: str, **figures) -> tuple[DataFrame, Observation]:
+    """df with figures (aggregates by name) gathered while it is written: the counters of a stage without a pass of their own."""
+    seen = Observation(name)
+    return df.observe(seen, *[c.alias(k) for k, c in figures.items()]), seen
+
+
 #: Fetchers by kind: functions from jobs(url) to pages; plugged in by the caller, as the library does no network access.
 FETCHERS: dict[str, Callable[[DataFrame], DataFrame]] = {}
 

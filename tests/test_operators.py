@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from harrowmill.functions import markup as MK
 from harrowmill.operators import enrich as E, folds, html as H, inference as I, publish as Pb, queueing as Q, rules as R, store as St, validate as V, windows as Wn
+from harrowmill.sources import connectors as C
 
 RECORD = "id string, source_type string, title string, body string, summary string, author string, category string, tags array<string>, url string, word_count int, published_s bigint, article boolean"
 
@@ -237,3 +238,22 @@ def test_headers_and_render(spark):
     d = spark.createDataFrame([({"a": "1", "b": "", "c": "3"}, {"a": "own"}, "{y}")], "i map<string,string>, o map<string,string>, x string")
     r = d.select(E.propagate_headers(F.col("i"), F.col("o"), ["a", "b"]).alias("h"), E.render("{x}-{y}", {"x": F.col("x"), "y": F.lit("Y")}).alias("t")).first()
     assert r.h == {"a": "own"} and r.t == "{y}-Y"
+
+
+def test_responses_are_decoded(spark):
+    rows = [(1, "é".encode("latin-1"), "text/html; charset=ISO-8859-1"), (2, "<meta charset='euc-kr'>가".encode("euc-kr"), "text/html"), (3, "é".encode(), None), (4, b"\xff", "text/html; charset=nonsense"), (5, None, None)]
+    got = spark.createDataFrame(rows, "k int, body binary, kind string").select("k", C.page_text(F.col("body"), F.col("kind")).alias("t")).orderBy("k").collect()
+    assert [r.t for r in got] == ["é", "<meta charset='euc-kr'>가", "é", "\ufffd", None]
+    h = spark.createDataFrame([([("A", "1"), ("content-TYPE", "x"), ("Content-Type", "y")],)], "h array<struct<key:string,value:string>>")
+    assert tuple(h.select(C.first_header(F.col("h"), "Content-Type"), C.first_header(F.col("h"), "none")).first()) == ("x", None)
+    df, seen = C.observed(spark.range(10), "stage", n=F.count("*"), top=F.max("id"))
+    df.collect()
+    assert seen.get == {"n": 10, "top": 9}
+
+
+def test_intake_and_republish(spark):
+    m = spark.createDataFrame([("a", "3", 5), ("a", "1", 9), ("", "1", 1), (None, "1", 1), ("b", "2", 1)], "id string, priority string, arrival_ms bigint")
+    assert [(r.id, r.score) for r in Q.intake(m, 5).collect()] == [("a", Q.PRIORITY_STEP + 9), ("b", 2 * Q.PRIORITY_STEP + 1)]
+    due = spark.createDataFrame([(1, 5, 0), (2, 6, 1)], "id int, due_ms bigint, attempts int")
+    sent, later = Q.republished(due, due.filter("id = 2"), F.lit(100), 10)
+    assert sent.count() == 2 and [tuple(r) for r in later.collect()] == [(2, 120, 2)]

@@ -49,3 +49,12 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint in the shared folder: survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """df in at least as many tasks as the session has cores, for Python stages over tables of one or a few files.
+
+    Tables of more files than cores, as all large ones are, stay as they are and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harrowmill.session import cut_lineage
+from harrowmill.session import cut_lineage, spread
 
 LOST = "�"
 #: Single-byte encodings in which UTF-8 is commonly misread, in the order they are tried.
@@ -243,7 +243,7 @@ def damaged_fields(fields: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["record_table", "record_id", "field", "layers", "lost", "text"])
 
     foreign = fields.filter(F.col("value").rlike(r"[^\x00-\x7f]"))
-    return foreign.mapInPandas(find, "record_table string, record_id string, field string, layers int, lost boolean, text string")
+    return spread(foreign, "record_id").mapInPandas(find, "record_table string, record_id string, field string, layers int, lost boolean, text string")
 
 
 # --- lost bytes -------------------------------------------------------------------------------------------------

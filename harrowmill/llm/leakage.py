@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrowmill.llm.text import words
-from harrowmill.session import cut_lineage
+from harrowmill.session import cut_lineage, spread
 
 WIDTH, RUN = 24, 12
 #: Passages weighted at a time, and tasks that share the sample the space is fitted on.
@@ -112,7 +112,7 @@ def _passages(docs: DataFrame, items: ItemSet, least: int) -> DataFrame:
         counts["doc_id"] = counts["doc_id"].astype("Int64")
         yield counts
 
-    return docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull()).mapInPandas(cut, "doc_id bigint, start int, terms array<int>")
+    return spread(docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull()), "doc_id").mapInPandas(cut, "doc_id bigint, start int, terms array<int>")
 
 
 def _sum_rows(df: DataFrame, size: int, width: int) -> np.ndarray:

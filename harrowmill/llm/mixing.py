@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from harrowmill.session import cut_lineage
+from harrowmill.session import cut_lineage, spread
 
 #: Splitting pattern of the tokenizer.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -43,7 +43,7 @@ def token_sizes(docs: DataFrame, tokenizer: str) -> DataFrame:
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "tokens": [len(coder.encode_ordinary(t)) for t in b["text"]]})
 
     kept = docs.select("doc_id", "source", "text").filter(F.col("doc_id").isNotNull() & F.col("source").isNotNull() & F.col("text").isNotNull())
-    return kept.mapInPandas(count, "doc_id bigint, source string, tokens bigint")
+    return spread(kept, "doc_id").mapInPandas(count, "doc_id bigint, source string, tokens bigint")
 
 
 def mixture_plan(totals: list[tuple[str, int, int]], targets: list[tuple[str, float, int]]) -> dict[str, dict]:

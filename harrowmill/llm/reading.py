@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harrowmill.session import cut_lineage
+from harrowmill.session import cut_lineage, spread
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _SENTENCE = re.compile(r"[.!?…。]+[”\"’»)\]]*(?:\s+|$)|\n+")
@@ -86,7 +86,7 @@ def familiar_words(docs: DataFrame, share: float = 0.02) -> DataFrame:
                 yield counted()
         yield counted()
 
-    df = _texts(docs).mapInPandas(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("df"))
+    df = spread(_texts(docs), "doc_id").mapInPandas(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("df"))
     df = cut_lineage(df)
     size = df.filter(F.col("word") == "").select("lang", F.col("df").alias("n"))
     return df.filter(F.col("word") != "").join(F.broadcast(size), "lang").filter(F.col("df") >= F.col("n") * share).select("lang", "word", "df")
@@ -120,7 +120,7 @@ def reading_figures(docs: DataFrame, share: float = 0.02) -> DataFrame:
                 out.append((doc, lang, len(w), known, sentences_of(text)))
             yield pd.DataFrame(out, columns=["doc_id", "lang", "n", "known", "sentences"])
 
-    out = _texts(docs).mapInPandas(measure, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, n bigint, known bigint, sentences bigint")
+    out = spread(_texts(docs), "doc_id").mapInPandas(measure, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, n bigint, known bigint, sentences bigint")
     unfamiliar = 1 - F.col("known") / F.col("n")
     length = F.col("n") / F.col("sentences")
     score = 0.1579 * 100 * unfamiliar + 0.0496 * length + F.when(unfamiliar > 0.05, 3.6365).otherwise(0.0)

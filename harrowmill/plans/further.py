@@ -9,7 +9,7 @@ from harrowmill.functions import urls as U
 from harrowmill.functions.datetimes import ntz_micros
 from harrowmill.operators import enrich as E, html as H, inference as I, publish as Pb, queueing as Q, store as St, windows as Wn
 from harrowmill.plans import fixtures as X
-from harrowmill.plans.reading import _BEST_BLACK, _BLACK, _HOST, _PAGES, _PATH, _pages
+from harrowmill.plans.reading import _BLACK, _HOST, _PAGES, _PATH, _pages
 from harrowmill.plans.registry import Registry
 from harrowmill.plans.writing import _EV, _HOUR, _JOBS, _P, _events, _jobs
 from harrowmill.sources import connectors as C

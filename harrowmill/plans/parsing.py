@@ -11,7 +11,7 @@ from harrowmill.operators import html as H
 from harrowmill.operators import inference as I
 from harrowmill.operators.rules import best_rule
 from harrowmill.plans import fixtures as X
-from harrowmill.plans.reading import _HOST, _PATH
+from harrowmill.plans.reading import _PATH
 from harrowmill.plans.registry import Registry
 from harrowmill.sources.tables import table
 

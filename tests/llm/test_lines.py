@@ -101,6 +101,39 @@ def test_unknown_wording_counts_by_status(spark):
     assert got == {*(f"a{k}" for k in range(5)), "a9"}
 
 
+@pytest.mark.parametrize("most", [0, 1, 2, 20_000])
+def test_every_template_meets_lines_of_other_titles(spark, most):
+    """However few templates may be sent to the tasks, each finds the lines that show another record's title."""
+    words = ["amber mill", "brass tower", "copper lane"]
+    frames = ["Kindly summon the curtain before {} appears again", "Our hamster dropped {} behind the big wheel", "Fetch a ladder to reach {}"]
+    rows = [(f"t{f}{k}", frame.format(title := f"{'north south east west upper lower'.split()[k]} {words[f]} closes early"), title) for f, frame in enumerate(frames) for k in range(6)]
+    rows += [(f"o{f}", frame.format("the quiet harbour gate"), "Nothing of the kind") for f, frame in enumerate(frames)] + [("d", "Our hamster dropped the ladder behind the sofa", "Nothing of the kind")]
+    got = {r.record_id for r in R.residue(spark.createDataFrame([(*r, None) for r in rows], "id string, body string, title string, url string"), most_templates=most).collect()}
+    assert got == {i for i, *_ in rows} - {"d"}
+
+
+def test_joined_templates_equal_the_bank(spark):
+    """Brute force: lines and templates of few words, wildcards between fixed ends, one template with two verdicts."""
+    import hashlib
+    import random
+
+    rng = random.Random(5)
+    some = lambda n: [rng.choice("abc") for _ in range(n)]
+    titled = {}
+    for _ in range(300):
+        pre, post = some(rng.randint(0, 6)), some(rng.randint(0, 6))
+        for side, inner in ((pre, range(1, len(pre))), (post, range(len(post) - 1))):
+            for i in inner:
+                side[i] = "<*>" if rng.random() < 0.4 else side[i]
+        if pre or post:
+            titled[" ".join([*pre, "<t>", *post]), rng.choice(["message", "filler"])] = rng.randint(2, 9)
+    texts = sorted({" ".join(some(rng.randint(1, 12))) for _ in range(600)})
+    bank = R.TemplateBank(sorted(titled, key=lambda x: (-titled[x], x[1])))
+    got = R.fitted_texts(spark.createDataFrame([(x,) for x in texts], "text string"), spark.createDataFrame([(*k, n) for k, n in titled.items()], "template string, mined string, records bigint"))
+    want = {hashlib.md5(x.encode()).digest(): kind for x in texts if (kind := bank.kind(x.split()))}
+    assert set(want.values()) == {"message", "filler"} and {bytes(r.shown): r.fit for r in got.collect()} == want
+
+
 def test_detectors_take_all_they_describe():
     assert R.has_filler("Excepteur sint occaecat cupidatat non proident sunt in culpa qui officia deserunt mollit anim id est laborum.")
     assert R.has_filler("Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur.")

@@ -48,6 +48,16 @@ def test_excess_is_told_from_common(spark):
     assert verdict == {"excess", "common"}
 
 
+def test_the_test_runs_only_where_it_decides(spark, monkeypatch):
+    """Lines repeated, however frequent elsewhere, come by count alone; asked for excess, the test decides rows and bodies."""
+    rows = [(f"{s}{i}", s, f"everywhere\nonly {s}\nx{s}{'q' * i}") for s in "ABCD" for i in range(8)]
+    of = lambda **o: sorted((r.doc_id, r.line_no) for r in S.repeated_occurrences(docs(spark, rows), **o).collect())
+    assert of(excess=True) == sorted((i, 1) for i, *_ in rows) and of(excess=True, rate=0.0) == []
+    assert {r.body.split("\n")[0] for r in S.without_repeated_lines(docs(spark, rows), excess=True).collect()} == {"everywhere"}
+    monkeypatch.setattr(S, "excess_threshold", lambda *_: pytest.fail("tested for nothing"))
+    assert of() == brute(rows) == sorted((i, k) for i, *_ in rows for k in (0, 1))
+
+
 @pytest.mark.parametrize("text, slot", [
     ("The {{ name }} said", True), ("by ${author}", True), ("{% block x", True), ("[[title]]", True), ("__lead__", True), ("%city%", True), ("<headline>", True), ("[city goes here]", True), ("[INSERT quote HERE]", True), ("@@x@@", True), ("{byline}", True),
     ("it is [sic] 100% full and 50% off", False), ("a_b and c__d", False), ("5 < 6 > 4", False), ("[관련] x", False), ("", False),

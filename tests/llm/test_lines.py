@@ -210,3 +210,20 @@ def test_body_lines(spark):
     want = {(i, k) for i, _, b, *_ in contents for k, x in enumerate(b.split("\n")) if x in ("Home", "Most read", "About us | Contact") or x.startswith("1. ")}
     assert got == want
     assert B.boilerplate_lines(c.limit(0), r.limit(0), src).count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 20_000])
+def test_no_lines_of_messages_under_another_title(spark, monkeypatch, most):
+    """A record whose message shows another record's title is a case of problem 1, whatever number of templates is sent to the tasks."""
+    from functools import partial
+
+    monkeypatch.setattr(R, "residue_of", partial(R.residue_of, most_templates=most))
+    raw = spark.createDataFrame([(f"r{n}", f"https://s.example/{n}", site(n, "marked"), ("Site",)) for n in range(60)], "id string, url string, html string, source struct<name:string>")
+    text = "\n".join(f"Sentence number {{0}} about the {w} of the town, which took a while to be told in full here. " * 2 for w in ("bridge", "harbour", "market"))
+    rows = [(f"c{n}", "\n".join([*["Home"] * (n % 3 == 0), text.format(n), *["About us | Contact"] * (n % 4 == 0)]), f"https://s.example/{n}", "Story") for n in range(60)]
+    titles = [f"{w} amber mill closes early" for w in "north south east west upper lower".split()]
+    rows += [(f"t{k}", f"Our hamster dropped {t} behind the big wheel\nAbout us | Contact", f"https://s.example/t{k}", t) for k, t in enumerate(titles)]
+    rows += [("o", "Our hamster dropped the quiet harbour gate behind the big wheel\nAbout us | Contact", "https://s.example/o", "Nothing of the kind")]
+    contents = spark.createDataFrame([(i, "s", b, None, u, t) for i, b, u, t in rows], "id string, source_id string, body string, author string, url string, title string")
+    got = {x.id for x in B.boilerplate_lines(contents, raw, spark.createDataFrame([("s", "Site")], "source_id string, name string")).collect()}
+    assert got == {f"c{n}" for n in range(60) if n % 3 == 0 or n % 4 == 0}

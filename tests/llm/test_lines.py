@@ -227,3 +227,19 @@ def test_no_lines_of_messages_under_another_title(spark, monkeypatch, most):
     contents = spark.createDataFrame([(i, "s", b, None, u, t) for i, b, u, t in rows], "id string, source_id string, body string, author string, url string, title string")
     got = {x.id for x in B.boilerplate_lines(contents, raw, spark.createDataFrame([("s", "Site")], "source_id string, name string")).collect()}
     assert got == {f"c{n}" for n in range(60) if n % 3 == 0 or n % 4 == 0}
+
+
+@pytest.mark.parametrize("most", [0, 20_000])
+def test_no_lines_of_messages_that_one_record_titles(spark, monkeypatch, most):
+    """One record that shows a message under its own title is enough for those that show it under another; unknown wording shown once tells nothing."""
+    from functools import partial
+
+    monkeypatch.setattr(R, "residue_of", partial(R.residue_of, most_templates=most))
+    raw = spark.createDataFrame([(f"r{n}", f"https://s.example/{n}", site(n, "marked"), ("Site",)) for n in range(60)], "id string, url string, html string, source struct<name:string>")
+    text = "\n".join(f"Sentence number {{0}} about the {w} of the town, which took a while to be told in full here. " * 2 for w in ("bridge", "harbour", "market"))
+    rows = [(f"c{n}", "\n".join([*["Home"] * (n % 3 == 0), text.format(n), *["About us | Contact"] * (n % 4 == 0)]), f"https://s.example/{n}", "Story") for n in range(60)]
+    title, frames = "North amber mill closes early", {"a": "Access to {} was denied by the server (403)", "u": "Our hamster dropped {} behind the big wheel"}
+    rows += [(f"{k}{n}", f"{frame.format(shown)}\nAbout us | Contact", f"https://s.example/{k}{n}", title) for k, frame in frames.items() for n, shown in enumerate([title, "the quiet harbour gate"])]
+    contents = spark.createDataFrame([(i, "s", b, None, u, t) for i, b, u, t in rows], "id string, source_id string, body string, author string, url string, title string")
+    got = {x.id for x in B.boilerplate_lines(contents, raw, spark.createDataFrame([("s", "Site")], "source_id string, name string")).collect()}
+    assert got == {"u0", "u1", *(f"c{n}" for n in range(60) if n % 3 == 0 or n % 4 == 0)}
